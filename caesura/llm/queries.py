@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caesura.llm import chat, sharding, token_store
+from caesura.llm import chat, sharding, substrings, token_store
 from caesura.llm.store import documents, workspace
 from caesura.llm.tokens import default_path
 
@@ -33,5 +33,9 @@ def op7_shuffled_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op3_token_store, op4_chat_prefix_targets, op7_shuffled_shards)}
+def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.deduplicate(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op3_token_store, op4_chat_prefix_targets, op7_shuffled_shards, op10_repeated_substrings)}
 ORACLES: dict[str, str] = {}

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def workspace(spark: SparkSession, name: str) -> str:
     """A new path below spark.checkpoint.dir, the folder that driver and executors share.
@@ -20,10 +22,21 @@ def workspace(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def write(df: DataFrame, path: str) -> None:
+    """df as Parquet; its shuffle files go when it is written, not at some later collection of garbage."""
+    spark = df.sparkSession
+    before = spark.conf.get(CLEAN, None)
+    try:
+        spark.conf.set(CLEAN, "true")
+        df.select("*").write.parquet(path)
+    finally:
+        spark.conf.unset(CLEAN) if before is None else spark.conf.set(CLEAN, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """df written as a shared table and read again: later plans don't recompute it, and a lost executor loses none of it."""
     path = workspace(df.sparkSession, name)
-    df.write.parquet(path)
+    write(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
