@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caesura.llm import chat, sharding, substrings, token_store
+from caesura.llm import chat, ngram_join, sharding, substrings, token_store
 from caesura.llm.store import documents, workspace
 from caesura.llm.tokens import default_path
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(documents(spark, sf_dir))
+
+
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workspace(spark, "token-store")
     token_store.write_store(documents(spark, sf_dir), path, default_path("word_bpe_49k.json"), end_id=2)
@@ -37,5 +41,5 @@ def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.deduplicate(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op3_token_store, op4_chat_prefix_targets, op7_shuffled_shards, op10_repeated_substrings)}
+QUERIES = {f.__name__: f for f in (op2_ngram_jaccard, op3_token_store, op4_chat_prefix_targets, op7_shuffled_shards, op10_repeated_substrings)}
 ORACLES: dict[str, str] = {}
