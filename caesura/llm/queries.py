@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caesura.llm import chat, ngram_join, sharding, substrings, token_store
+from caesura.llm import attribution, chat, ngram_join, packing, sharding, substrings, token_store
 from caesura.llm.store import documents, workspace
 from caesura.llm.tokens import default_path
 
@@ -28,6 +28,10 @@ def op4_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(spark, path)
 
 
+def op5_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attribution.count_tokens(documents(spark, sf_dir), default_path("byte_bpe_50k.json"), rule="first")
+
+
 def op7_shuffled_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, shards, seed = workspace(spark, "shards"), 8, 7
     sharding.write_shards(documents(spark, sf_dir), path, shards, seed)
@@ -37,9 +41,13 @@ def op7_shuffled_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_cutting_stock_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), default_path("byte_bpe_50k.json"), end_id=0)
+
+
 def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.deduplicate(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_ngram_jaccard, op3_token_store, op4_chat_prefix_targets, op7_shuffled_shards, op10_repeated_substrings)}
+QUERIES = {f.__name__: f for f in (op2_ngram_jaccard, op3_token_store, op4_chat_prefix_targets, op5_token_attribution, op7_shuffled_shards, op9_cutting_stock_packing, op10_repeated_substrings)}
 ORACLES: dict[str, str] = {}
