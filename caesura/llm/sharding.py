@@ -17,7 +17,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from caesura.llm.store import write
+
 BUCKET_BYTES = 16_000_000
+#: So many buckets' places (16 bytes each) are sent to all executors; more are joined by a shuffle.
+BROADCAST_BUCKETS = 500_000
 
 
 def shard_of(key: Column, shards: int, seed: int) -> Column:
@@ -34,7 +38,7 @@ def write_shards(docs: DataFrame, path: str, shards: int = 8, seed: int = 7, buc
     placed = rows.select(shard_of(F.col("doc_id"), shards, seed).alias("shard"), F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", "text"), F.lit(buckets)).cast("int").alias("bucket"), "doc_id", "text")
     held = placed.groupBy("shard", "bucket").agg(F.collect_list(F.struct("doc_id", "text")).alias("rows"))
     mixed = held.sortWithinPartitions("shard", "bucket").select("shard", "bucket", F.shuffle(F.array_sort("rows"), seed).alias("rows"))
-    mixed.select("shard", "bucket", F.posexplode("rows").alias("pos", "row")).select("shard", "bucket", "pos", "row.doc_id", "row.text").write.parquet(path)
+    write(mixed.select("shard", "bucket", F.posexplode("rows").alias("pos", "row")).select("shard", "bucket", "pos", "row.doc_id", "row.text"), path)
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
@@ -43,4 +47,6 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
     counts = rows.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     places = counts.select("shard", "bucket", F.coalesce(before, F.lit(0)).alias("first"))
+    if counts.count() <= BROADCAST_BUCKETS:  # else the join shuffles
+        places = F.broadcast(places)
     return rows.join(places, ["shard", "bucket"]).select("shard", (F.col("first") + F.col("pos")).alias("slot"), "doc_id", "text")
