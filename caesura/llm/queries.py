@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caesura.llm import attribution, chat, ngram_join, packing, sharding, substrings, token_store
+from caesura.llm import attribution, chat, divergence, ngram_join, packing, secrets, sharding, substrings, token_store
 from caesura.llm.store import documents, workspace
 from caesura.llm.tokens import default_path
 
 
+def op1_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.judge(documents(spark, sf_dir))
+
+
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(documents(spark, sf_dir))
 
@@ -41,6 +45,10 @@ def op7_shuffled_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(documents(spark, sf_dir))
+
+
 def op9_cutting_stock_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), default_path("byte_bpe_50k.json"), end_id=0)
 
@@ -49,5 +57,5 @@ def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.deduplicate(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_ngram_jaccard, op3_token_store, op4_chat_prefix_targets, op5_token_attribution, op7_shuffled_shards, op9_cutting_stock_packing, op10_repeated_substrings)}
+QUERIES = {f.__name__: f for f in (op1_distribution_divergence, op2_ngram_jaccard, op3_token_store, op4_chat_prefix_targets, op5_token_attribution, op7_shuffled_shards, op8_secret_scan, op9_cutting_stock_packing, op10_repeated_substrings)}
 ORACLES: dict[str, str] = {}

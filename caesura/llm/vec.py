@@ -77,6 +77,10 @@ class Chunk:
         self.solid = solid
         self.hash = Ranges(LOWER[self.b] if lower else self.b).hash(self.start, self.end)
 
+    def raw(self) -> np.ndarray:
+        """Hashes of the words as they stand."""
+        return Ranges(self.b).hash(self.start, self.end)
+
     def shingles(self, k: int, short: bool) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all k-word windows inside texts, and the n + 1 offsets of the texts' windows.
 
