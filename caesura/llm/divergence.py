@@ -41,7 +41,7 @@ COMMON = {
 }
 WORDS = sorted({w for words in COMMON.values() for w in words.split()})
 N_CLASS = len(CLASSES) + 1
-FEATURES = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_bytes long, classes array<long>, common array<long>"
+FEATURES = "doc_id long, lang string, row_key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_bytes long, classes array<long>, common array<long>"
 
 
 def _hashes(words: list[str]) -> np.ndarray:
@@ -74,7 +74,7 @@ def features(docs: DataFrame, carry: bool = False) -> DataFrame:
         order = np.argsort(listed)
         ranked = listed[order]
         for batch in batches:
-            for i, j, chunk in chunks(batch.column(2)):
+            for i, j, chunk in chunks(batch.column(3)):
                 chunk.words()
                 n, b = chunk.n, chunk.b
                 head = (b & 0xC0) != 0x80
@@ -106,15 +106,26 @@ def features(docs: DataFrame, carry: bool = False) -> DataFrame:
                 begin, finish, line_doc = begin[full], finish[full], line_doc[full]
                 again, _ = _later(line_doc, Ranges(b).hash(begin, finish))
                 columns = [
-                    *(batch.column(k).slice(i, j - i) for k in (0, 1)), size, chunk.total(chunk.solid & head), chunk.total(symbol[b]), np.bincount(line_doc[again], minlength=n), chunk.total(covered[: len(chunk.start)], chunk.first), chunk.total(chunk.solid),
-                    *(pa.array(list(x.astype(np.int64)), pa.list_(pa.int64())) for x in (classes, common)), *([batch.column(2).slice(i, j - i)] * carry),
+                    *(batch.column(k).slice(i, j - i) for k in (0, 1, 2)), size, chunk.total(chunk.solid & head), chunk.total(symbol[b]), np.bincount(line_doc[again], minlength=n), chunk.total(covered[: len(chunk.start)], chunk.first), chunk.total(chunk.solid),
+                    *(pa.array(list(x.astype(np.int64)), pa.list_(pa.int64())) for x in (classes, common)), *([batch.column(3).slice(i, j - i)] * carry),
                 ]
                 yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x.astype(np.int64)) for x in columns], names=[x.split()[0] for x in FEATURES.split(", ")] + ["text"] * carry)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), row_key().alias("row_key"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(count, FEATURES + ", text string" * carry)
 
 
+def row_key() -> Column:
+    """Equal for rows with equal verdicts: the hash of all that a verdict depends on, and the id."""
+    return F.xxhash64("doc_id", "lang", "text")
+
+
+def keep(docs: DataFrame) -> DataFrame:
+    """The rows of docs that pass, with all their columns."""
+    good = judge(docs).where("kept").select(F.col("row_key").alias("good_row_key")).distinct()
+    return docs.join(good, row_key() == F.col("good_row_key"), "left_semi")
+
+
 def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
 
@@ -148,4 +159,4 @@ def judge(docs: DataFrame, carry: bool = False) -> DataFrame:
         "base_failed": base_failed(),
     })
     kept = ~F.col("base_failed") & (F.coalesce("class_distance", F.lit(0.0)) <= MAX_CLASS) & (F.coalesce("word_distance", F.lit(0.0)) <= MAX_WORD)
-    return apart.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), F.round("class_distance", 4).alias("class_distance"), F.round("word_distance", 4).alias("word_distance"), *["text"] * carry)
+    return apart.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), F.round("class_distance", 4).alias("class_distance"), F.round("word_distance", 4).alias("word_distance"), "row_key", *["text"] * carry)

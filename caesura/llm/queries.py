@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caesura.llm import attribution, chat, divergence, ngram_join, packing, secrets, sharding, substrings, token_store
+from caesura.llm import attribution, chat, decontamination, divergence, ngram_join, packing, secrets, sharding, substrings, token_store
 from caesura.llm.store import documents, workspace
 from caesura.llm.tokens import default_path
 
 
 def op1_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return divergence.judge(documents(spark, sf_dir))
+    return divergence.judge(documents(spark, sf_dir)).drop("row_key")
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op5_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attribution.count_tokens(documents(spark, sf_dir), default_path("byte_bpe_50k.json"), rule="first")
 
 
+def op6_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op7_shuffled_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, shards, seed = workspace(spark, "shards"), 8, 7
     sharding.write_shards(documents(spark, sf_dir), path, shards, seed)
@@ -57,5 +61,5 @@ def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.deduplicate(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_distribution_divergence, op2_ngram_jaccard, op3_token_store, op4_chat_prefix_targets, op5_token_attribution, op7_shuffled_shards, op8_secret_scan, op9_cutting_stock_packing, op10_repeated_substrings)}
+QUERIES = {f.__name__: f for f in (op1_distribution_divergence, op2_ngram_jaccard, op3_token_store, op4_chat_prefix_targets, op5_token_attribution, op6_simhash_decontamination, op7_shuffled_shards, op8_secret_scan, op9_cutting_stock_packing, op10_repeated_substrings)}
 ORACLES: dict[str, str] = {}

@@ -63,9 +63,9 @@ class Chunk:
     def __init__(self, b: np.ndarray, edge: np.ndarray):
         self.b, self.edge, self.n = b, edge, len(edge) - 1
 
-    def words(self, lower: bool = True) -> None:
+    def words(self, lower: bool = True, gap: np.ndarray = SPACE) -> None:
         """Sets start, end, doc (index of the text), hash by word and first (n + 1 offsets into the words)."""
-        solid = ~SPACE[self.b]
+        solid = ~gap[self.b]
         cut = np.zeros(len(self.b) + 1, bool)
         cut[self.edge] = True
         left, right = solid.copy(), solid.copy()
