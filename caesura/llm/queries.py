@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caesura.llm import attribution, chat, decontamination, divergence, ngram_join, packing, secrets, sharding, substrings, token_store
+from caesura.llm.sql import ORACLES as ORACLES
 from caesura.llm.store import documents, workspace
 from caesura.llm.tokens import default_path
 
@@ -15,7 +16,7 @@ def op1_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.join(documents(spark, sf_dir))
+    return ngram_join.join(documents(spark, sf_dir)).drop("class_id")
 
 
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,4 +63,3 @@ def op10_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_distribution_divergence, op2_ngram_jaccard, op3_token_store, op4_chat_prefix_targets, op5_token_attribution, op6_simhash_decontamination, op7_shuffled_shards, op8_secret_scan, op9_cutting_stock_packing, op10_repeated_substrings)}
-ORACLES: dict[str, str] = {}
