@@ -52,6 +52,14 @@ def groups_of(n: int) -> int:
     return size
 
 
+def fine_groups_of(n: int) -> int:
+    """Dimensions of the finer count vector, by which pairs that come out of the trees are bounded once more."""
+    size = 256
+    while size < n:
+        size *= 2
+    return size
+
+
 def _frequent(docs: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent words and shingles, of those met again within a chunk of texts."""
 
@@ -93,7 +101,7 @@ def identity(s: np.ndarray) -> tuple[int, int, int]:
     return sign(int(mix(np.array([a ^ (b >> 1)], U) + U(len(s)))[0])), sign(a), sign(b)
 
 
-SKETCH = "doc_id long, cid long, n long, vec binary, keys array<long>"
+SKETCH = "doc_id long, cid long, n long, vec binary, fine binary, keys array<long>"
 
 
 def sketches(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
@@ -104,20 +112,21 @@ def sketches(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
             for i, j, chunk in chunks(batch.column(1)):
                 chunk.words()
                 h, rank, at = ranked(chunk, words, frequent, k)
-                cids, sizes, vecs, keys = [], [], [], []
+                cids, sizes, vecs, fines, keys = [], [], [], [], []
                 for a, b in zip(at[:-1], at[1:], strict=True):
                     s, first = np.unique(h[a:b], return_index=True)
                     n = len(s)
                     sizes.append(n)
                     if not n:
-                        cids.append(None), vecs.append(None), keys.append([])
+                        cids.append(None), vecs.append(None), fines.append(None), keys.append([])
                         continue
                     cids.append(identity(s)[0])
                     vec = np.bincount((s & U(groups_of(n) - 1)).astype(np.int64), minlength=groups_of(n))
+                    fines.append(np.minimum(np.bincount((s & U(fine_groups_of(n) - 1)).astype(np.int64), minlength=fine_groups_of(n)), 255).astype("u1").tobytes())
                     vecs.append(np.minimum(vec, 65_535).astype("<u2").tobytes())
                     order = np.argsort(rank[a:b][first], kind="stable")
                     keys.append(s[order[: n - (PERCENT * n + 99) // 100 + 1]].view(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(cids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(vecs, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=[x.split()[0] for x in SKETCH.split(", ")])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(cids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(vecs, pa.binary()), pa.array(fines, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=[x.split()[0] for x in SKETCH.split(", ")])
 
     return docs.select("doc_id", "text").mapInArrow(sketch, SKETCH)
 
@@ -251,7 +260,30 @@ def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(cid[a:b][x]), pa.array(cid[a:b][y])], names=["a", "b"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _refined(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose finer count vectors also leave room for enough overlap."""
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fits = []
+            for n, m, x, y in zip(*(batch.column(k).to_pylist() for k in range(2, 6)), strict=True):
+                p, q = np.frombuffer(x, "u1"), np.frombuffer(y, "u1")
+                if len(p) != len(q):  # the finer one's groups fall into the other's
+                    p, q = (p, q) if len(p) < len(q) else (q, p)
+                    full, q = bool((p == 255).any() or (q == 255).any()), q.reshape(-1, len(p)).sum(0, dtype=np.int64)
+                else:
+                    full = bool((p == 255).any() or (q == 255).any())  # 255 stands for any greater number too: no bound
+                fits.append(full or int(np.minimum(p, q).sum(dtype=np.int64)) >= need(n, m))
+            yield batch.select([0, 1]).filter(pa.array(fits, pa.bool_()))
+
+    a, b = (classes.select(F.col("cid").alias(x), F.col("n").alias(f"n_{x}"), F.col("fine").alias(f"fine_{x}")) for x in "ab")
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "n_b", "fine_a", "fine_b").mapInArrow(bound, "a long, b long")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+    """Those of the pairs (a, b) of classes that link. Sets are made again from the texts, of these classes only."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    sets = materialize(_sets(docs, materialize(classes.join(wanted, "cid", "left_semi").select("doc_id", "cid"), "wanted"), k), "sets")
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fits = []
@@ -271,20 +303,21 @@ def join(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     """A row for every row of docs: doc_id, n_shingles, component_id, class_id (equal sets have equal ones)."""
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = materialize(sketches(docs, k), "sketches")
-    classes = materialize(sketch.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("vec").alias("vec"), F.first("keys").alias("keys")), "classes")
+    classes = materialize(sketch.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("vec").alias("vec"), F.first("fine").alias("fine"), F.first("keys").alias("keys")), "classes")
     keyed = classes.select(F.explode("keys").alias("key"), "cid", "n").repartition("key").sortWithinPartitions("key")
     block = materialize(keyed.mapInArrow(shared, "key long, cid long, n long"), "blocks")
     point = classes.select("cid", "vec")
     rows = block.join(point, "cid").select("key", "cid", "n", "vec").repartition("key").sortWithinPartitions("key", "n", "cid")
-    first = materialize(rows.mapInArrow(likely, "a long, b long").groupBy("a").agg(F.mode("b", True).alias("b")), "likely")
-    sets = materialize(_sets(docs, classes.join(block.select("cid").distinct(), "cid", "left_semi").select("doc_id", "cid"), k), "sets")
-    links = materialize(_verified(first, sets), "links")
+    first = rows.mapInArrow(likely, "a long, b long").groupBy("a").agg(F.mode("b", True).alias("b"))
+    first = materialize(_refined(first, classes), "likely")
+    links = materialize(_verified(first, docs, classes, k), "links")
     label = components(links)
     named = block.join(label.withColumnRenamed("node", "cid"), "cid", "left").select("key", "cid", "n", F.coalesce("label", "cid").alias("label"))
     mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
     rows = named.join(mixed, "key", "left_semi").join(point, "cid").select("key", "cid", "n", "vec", "label").repartition("key").sortWithinPartitions("key", "n", "cid")
-    rest = materialize(rows.mapInArrow(searched, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "searched")
-    more = materialize(_verified(rest, sets), "links")
+    rest = rows.mapInArrow(searched, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rest = materialize(_refined(rest, classes), "searched")
+    more = materialize(_verified(rest, docs, classes, k), "links")
     label = components(links.unionByName(more))
     placed = classes.select("cid", "doc_id").join(label.withColumnRenamed("node", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     least = placed.groupBy("label").agg(F.min("doc_id").alias("least"))
@@ -292,3 +325,11 @@ def join(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     named_id = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
     out = sketch.select("doc_id", "n", "cid").join(known, "cid", "left").withColumn("least", F.coalesce("least", "doc_id"))
     return out.select(named_id("doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), named_id("least").alias("component_id"), F.col("cid").alias("class_id"))
+
+
+def representatives(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
+    """The rows of docs with the least doc_id of their component, with all their columns. Of rows with one doc_id, one stays."""
+    found = join(docs, k).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    counts = materialize(found.groupBy(F.col("doc_id").alias("kept_id")).count(), "kept")
+    kept = docs.join(counts.select("kept_id"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return kept if counts.where("count > 1").head() is None else kept.dropDuplicates(["doc_id"])
