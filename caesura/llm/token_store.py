@@ -39,7 +39,9 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, sample_docs:
     """
     import zstandard
 
-    texts = docs.where(F.length("text") <= max_chars).orderBy(F.xxhash64(F.lit(3), "doc_id", "text")).limit(sample_docs).select("text").toArrow()["text"].combine_chunks()
+    mark = F.xxhash64(F.lit(3), "doc_id", "text")
+    some = docs.where((F.length("text") <= max_chars) & (F.pmod(mark, F.lit(max(docs.count(), 1))) < 4 * sample_docs))  # some 4 times as many as wanted
+    texts = some.orderBy(mark).limit(sample_docs).select("text").toArrow()["text"].combine_chunks()
     ids, edge = encoder(tokenizer).encode(texts) if len(texts) else (np.zeros(0, np.uint32), [0])
     parts = [ids[a:b].astype("<u2").tobytes() + end_id.to_bytes(2, "little") for a, b in zip(edge[:-1], edge[1:], strict=True)]
     try:
