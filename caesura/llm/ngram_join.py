@@ -246,16 +246,45 @@ def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(cid[at]), pa.array(cid[partner[at]])], names=["a", "b"])
 
 
+def _fine_enough(blobs: list[bytes], n: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the finer count vectors of pairs leave room for enough overlap."""
+    keep = np.ones(len(a), bool)
+    size = np.array([len(x) for x in blobs])
+    for low, high in {(min(x, y), max(x, y)) for x, y in zip(size[a].tolist(), size[b].tolist(), strict=True)}:
+        swap = size[a] > size[b]
+        p, q = np.where(swap, b, a), np.where(swap, a, b)
+        own = np.flatnonzero((size[p] == low) & (size[q] == high))
+        for i in range(0, len(own), 4_000):
+            r = own[i : i + 4_000]
+            x, y = (np.frombuffer(b"".join([blobs[k] for k in which[r].tolist()]), "u1").reshape(len(r), -1) for which in (p, q))
+            full = (x == 255).any(1) | (y == 255).any(1)  # 255 stands for any greater number too: no bound
+            if high > low:  # the finer one's groups fall into the other's
+                y = y.reshape(len(r), -1, low).sum(1, dtype=np.int64)
+            keep[r] = full | (np.minimum(x, y).sum(1, dtype=np.int64) >= need(n[p[r]], n[q[r]]))
+    return keep
+
+
+def _coarse(blob: bytes, n: int) -> bytes:
+    """The count vector of groups_of(n) dimensions, from the finer one."""
+    fine = np.frombuffer(blob, "u1").astype(np.int64)
+    rows = fine.reshape(-1, groups_of(n))
+    return np.where((rows == 255).any(0), 65_535, np.minimum(rows.sum(0), 65_535)).astype("<u2").tobytes()
+
+
 def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Round 2, over key, cid, n, vec, label sorted by key, n, cid: pairs of unlike label within the bound."""
+    """Round 2, over key, cid, n, fine, label sorted by key, n, cid: pairs of unlike label within both bounds."""
     for batch in _blocks(batches):
         key, cid, n, label = (batch.column(k).to_numpy() for k in (0, 1, 2, 4))
         head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         for a, b in zip(head, np.append(head[1:], len(key)), strict=True):
             if (label[a:b] == label[a]).all():
                 continue
-            tree = CountTree(_points(batch.column(3).slice(a, b - a).to_pylist()), n[a:b])
+            fine = batch.column(3).slice(a, b - a).to_pylist()
+            tree = CountTree(_points([_coarse(x, int(m)) for x, m in zip(fine, n[a:b], strict=True)]), n[a:b])
             x, y = tree.pairs(label[a:b])
+            if len(x):
+                keep = _fine_enough(fine, n[a:b], x, y)
+                x, y = x[keep], y[keep]
             if len(x):
                 yield pa.RecordBatch.from_arrays([pa.array(cid[a:b][x]), pa.array(cid[a:b][y])], names=["a", "b"])
 
@@ -314,9 +343,10 @@ def join(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     label = components(links)
     named = block.join(label.withColumnRenamed("node", "cid"), "cid", "left").select("key", "cid", "n", F.coalesce("label", "cid").alias("label"))
     mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
-    rows = named.join(mixed, "key", "left_semi").join(point, "cid").select("key", "cid", "n", "vec", "label").repartition("key").sortWithinPartitions("key", "n", "cid")
+    fine = classes.select("cid", "fine")
+    rows = named.join(mixed, "key", "left_semi").join(fine, "cid").select("key", "cid", "n", "fine", "label").repartition("key").sortWithinPartitions("key", "n", "cid")
     rest = rows.mapInArrow(searched, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = materialize(_refined(rest, classes), "searched")
+    rest = materialize(rest, "searched")
     more = materialize(_verified(rest, docs, classes, k), "links")
     label = components(links.unionByName(more))
     placed = classes.select("cid", "doc_id").join(label.withColumnRenamed("node", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
