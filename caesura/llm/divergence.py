@@ -130,21 +130,20 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
 
 
-def distance(own: Column, total: Column) -> Column:
-    """Jensen-Shannon's distance of two arrays of counts, each with a sum over 0."""
-    add = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
-    shares = F.zip_with(own, total, lambda a, b: F.struct((a / add(own)).alias("p"), (b / add(total)).alias("q")))
+def distance(own: Column, own_total: Column, ref: Column, ref_total: Column) -> Column:
+    """Jensen-Shannon's distance of two arrays of counts. Totals are given: a sum inside the lambda would be taken anew for every element."""
+    shares = F.zip_with(own, ref, lambda a, b: F.struct((a / own_total).alias("p"), (b / ref_total).alias("q")))
     part = lambda x, m: F.when(x > 0, x * F.log2(x / m)).otherwise(0.0)
-    terms = F.transform(shares, lambda s: (part(s["p"], (s["p"] + s["q"]) / 2) + part(s["q"], (s["p"] + s["q"]) / 2)) / 2)
-    return F.sqrt(F.greatest(add(terms), F.lit(0.0)))
+    total = F.aggregate(shares, F.lit(0.0), lambda t, s: t + (part(s["p"], (s["p"] + s["q"]) / 2) + part(s["q"], (s["p"] + s["q"]) / 2)) / 2)
+    return F.sqrt(F.greatest(total, F.lit(0.0)))
 
 
 def references(found: DataFrame) -> DataFrame:
     """lang, and sums of the histograms (common words with the other words last), over documents that pass the base rules: a row a language."""
-    sums = [F.sum(F.col("classes")[k]).alias(f"c{k}") for k in range(N_CLASS)] + [F.sum(F.col("common")[k]).alias(f"w{k}") for k in range(len(WORDS))] + [F.sum("n_words").alias("w")]
+    sums = [F.sum(F.col("classes")[k]).alias(f"c{k}") for k in range(N_CLASS)] + [F.sum(F.col("common")[k]).alias(f"w{k}") for k in range(len(WORDS))] + [F.sum("n_words").alias("w"), F.sum("n_bytes").alias("c")]
     total = found.where(~base_failed()).groupBy("lang").agg(*sums)
     words = [F.col(f"w{k}") for k in range(len(WORDS))]
-    return total.select(F.col("lang").alias("language"), F.array(*[f"c{k}" for k in range(N_CLASS)]).alias("ref_classes"), F.array(*words, F.col("w") - sum(words[1:], words[0])).alias("ref_words"))
+    return total.select(F.col("lang").alias("language"), F.array(*[f"c{k}" for k in range(N_CLASS)]).alias("ref_classes"), F.array(*words, F.col("w") - sum(words[1:], words[0])).alias("ref_words"), F.col("c").alias("ref_bytes"), F.col("w").alias("ref_count"))
 
 
 def judge(docs: DataFrame, carry: bool = False) -> DataFrame:
@@ -154,8 +153,8 @@ def judge(docs: DataFrame, carry: bool = False) -> DataFrame:
     listed = F.aggregate("common", F.lit(0).cast("long"), lambda s, x: s + x)
     words = F.concat("common", F.array(F.col("n_words") - listed))
     apart = joined.withColumns({
-        "class_distance": F.when(F.col("n_bytes") >= MIN_BYTES, distance(F.col("classes"), F.col("ref_classes"))),
-        "word_distance": F.when(F.col("n_words") >= MIN_COMMON, distance(words, F.col("ref_words"))),
+        "class_distance": F.when(F.col("n_bytes") >= MIN_BYTES, distance(F.col("classes"), F.col("n_bytes"), F.col("ref_classes"), F.col("ref_bytes"))),
+        "word_distance": F.when(F.col("n_words") >= MIN_COMMON, distance(words, F.col("n_words"), F.col("ref_words"), F.col("ref_count"))),
         "base_failed": base_failed(),
     })
     kept = ~F.col("base_failed") & (F.coalesce("class_distance", F.lit(0.0)) <= MAX_CLASS) & (F.coalesce("word_distance", F.lit(0.0)) <= MAX_WORD)

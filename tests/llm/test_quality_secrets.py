@@ -47,7 +47,7 @@ def test_distance(spark):
     row = spark.sql("SELECT array(3L, 0L, 5L) AS a, array(1L, 4L, 5L) AS b")
     from pyspark.sql import functions as F
 
-    assert abs(row.select(divergence.distance(F.col("a"), F.col("b")).alias("d")).head()["d"] - js**0.5) < 1e-12
+    assert abs(row.select(divergence.distance(F.col("a"), F.lit(8), F.col("b"), F.lit(10)).alias("d")).head()["d"] - js**0.5) < 1e-12
 
 
 def test_junk_goes_and_clean_stays(spark):
