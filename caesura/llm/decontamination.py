@@ -41,30 +41,27 @@ def _chunk(texts: list[str | None]) -> Chunk:
 
 
 class Lanes:
-    """Running sums of the words' hash bits, one byte a bit."""
+    """Running sums of the words' hash bits, one byte a bit, 64 bytes a word."""
 
     def __init__(self, h: np.ndarray):
-        self.sums = np.zeros((8, len(h) + 1), U)
+        self.sums = np.zeros((len(h) + 1, 8), U)
         h = mix(h ^ U(0x51ED270B))
         for k in range(8):
-            np.cumsum(SPREAD[((h >> U(8 * k)) & U(255)).astype(np.int64)], out=self.sums[k, 1:])
+            self.sums[1:, k] = SPREAD[((h >> U(8 * k)) & U(255)).astype(np.int64)]
+        np.cumsum(self.sums, axis=0, out=self.sums)
 
     def simhash(self, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Fingerprints of the windows of size words from start."""
-        total = np.zeros((len(start), 64), np.int32) if size.max(initial=0) > 255 else None
-        at = start
-        end = start + size
-        while True:
-            stop = np.minimum(at + 255, end)  # a byte holds as many
-            part = np.ascontiguousarray((self.sums[:, stop] - self.sums[:, at]).T).view(np.uint8)
-            if total is None:
-                total = part
-                break
-            total += part
-            if (stop == end).all():
-                break
-            at = stop
-        bits = total > (size // 2)[:, None]
+        end, most = start + size, int(size.max(initial=0))
+        if most <= 255:  # a byte holds as many
+            bits = (self.sums[end] - self.sums[start]).view(np.uint8) > (size // 2).astype(np.uint8)[:, None]
+        else:
+            total, at = np.zeros((len(start), 64), np.int32), start
+            while (at < end).any():
+                stop = np.minimum(at + 255, end)
+                total += (self.sums[stop] - self.sums[at]).view(np.uint8)
+                at = stop
+            bits = total > (size // 2)[:, None]
         return np.packbits(bits, axis=1).view(U).reshape(-1)
 
 
@@ -84,6 +81,8 @@ class Items:
         held = Counter(x for s in self.shingles for x in s)
         self.weight = {x: 1 / n for x, n in held.items()}
         self.known = np.unique(h)
+        self.known_weight = np.array([self.weight[x] for x in self.known.tolist()])
+        self.total = np.array([sum(self.weight[x] * n for x, n in c.items()) for c in self.shingles])
         sizes = np.diff(chunk.first)
         lanes, left = Lanes(chunk.hash), np.flatnonzero(sizes)
         while len(left):
@@ -99,11 +98,17 @@ class Items:
                 index.append((np.searchsorted(near[order], np.arange(65_537)).astype(np.int32), np.repeat(np.arange(len(own)), len(NEAR))[order].astype(np.int32)))
             self.classes.append((int(round((sizes[own].min() + sizes[own].max()) / 2)), own, prints, index))
 
-    def _verify(self, item: int, words: np.ndarray, shingles: np.ndarray, first: int, last: int) -> tuple[float, int]:
-        """The best similarity over windows of the item's size that start in first..last, and its start."""
+    def _verify(self, item: int, words: np.ndarray, shingles: np.ndarray, weights: np.ndarray, first: int, last: int, done: set[int]) -> tuple[float, int]:
+        """The best similarity over windows of the item's size that start in first..last and aren't done, and its start. weights: running sums of known shingles'."""
         want, n = self.words[item], len(self.words[item])
         best = (0.0, first)
         for q in range(max(first, 0), min(last, max(len(words) - n, 0)) + 1):
+            if q in done:
+                continue
+            done.add(q)
+            stop = min(max(q + n - SHINGLE + 1, q), len(shingles))
+            if n >= SHINGLE and weights[stop] - weights[q] < SIMILAR * self.total[item] - 1e-9:
+                continue  # what is shared has too little weight
             if n < SHINGLE:
                 found = 1.0 if len(words) - q >= n and (words[q : q + n] == want).all() else 0.0
             else:
@@ -118,22 +123,24 @@ class Items:
         """(text, item) -> (similarity, first word), for a chunk without words set."""
         chunk.words(gap=GAP)
         out: dict[tuple[int, int], tuple[float, int]] = {}
+        tested: dict[tuple[int, int], set[int]] = {}
         if not self.classes or not len(chunk.hash):
             return out
         lanes, size = Lanes(chunk.hash), np.diff(chunk.first)
         h, at = chunk.shingles(SHINGLE, True)
         hit = self.known[np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)] == h
-        hits = np.concatenate([[0], np.cumsum(hit)])
+        place = np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)
+        weights = np.concatenate([[0.0], np.cumsum(np.where(hit, self.known_weight[place], 0.0))])
         for length, own, prints, index in self.classes:
-            step, small = max(1, length // 8), len(self.words[own[0]]) < SHINGLE
+            step, small = max(1, length // 6), len(self.words[own[0]]) < SHINGLE
             # windows of each text at 0, step, 2 step, ... and at its end; one of the whole text if that is shorter
             count = np.where(size > length, -(-(size - length) // step) + 1, (size * 5 >= length * 3).astype(np.int64))
             doc = np.repeat(np.arange(chunk.n), count)
             k = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
             width = np.minimum(size[doc], length)
             start = np.minimum(k * step, size[doc] - width)
-            for lo in range(0, len(doc), 100_000):
-                d, s, w = doc[lo : lo + 100_000], start[lo : lo + 100_000], width[lo : lo + 100_000]
+            for lo in range(0, len(doc), 20_000):
+                d, s, w = doc[lo : lo + 20_000], start[lo : lo + 20_000], width[lo : lo + 20_000]
                 marks = lanes.simhash(chunk.first[d] + s, w)
                 found: list[np.ndarray] = []
                 for b, (first, items) in enumerate(index):
@@ -142,16 +149,17 @@ class Items:
                     row = np.repeat(np.arange(len(v)), n)
                     item = items[np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + first[v][row]]
                     near = np.bitwise_count(marks[row] ^ prints[item]) <= RADIUS
-                    found.append(np.stack([row[near], item[near]]))
-                row, item = np.unique(np.concatenate(found, 1), axis=1)
-                if not small:  # a similar window has a shingle of some item
+                    found.append(row[near] * len(own) + item[near])
+                row, item = np.divmod(np.unique(np.concatenate(found)), len(own))
+                if not small:  # a similar window shares as much weight
                     a = np.maximum(s[row] - 2 * step, 0)
                     z = np.minimum(s[row] + w[row] + 2 * step, at[d[row] + 1] - at[d[row]])
-                    some = hits[at[d[row]] + np.maximum(z, a)] > hits[at[d[row]] + np.minimum(a, np.maximum(z, a))]
+                    z = np.maximum(z, a)
+                    some = weights[np.minimum(at[d[row]] + z, len(h))] - weights[np.minimum(at[d[row]] + a, len(h))] >= SIMILAR * self.total[own[item]] - 1e-6
                     row, item = row[some], item[some]
                 for r, i in zip(row.tolist(), own[item].tolist(), strict=True):
                     x = int(d[r])
-                    got = self._verify(i, chunk.hash[chunk.first[x] : chunk.first[x + 1]], h[at[x] : at[x + 1]], int(s[r]) - 2 * step, int(s[r]) + 2 * step)
+                    got = self._verify(i, chunk.hash[chunk.first[x] : chunk.first[x + 1]], h[at[x] : at[x + 1]], weights[at[x] : at[x + 1] + 1], int(s[r]) - 2 * step, int(s[r]) + 2 * step, tested.setdefault((x, i), set()))
                     if got[0] >= SIMILAR and got[0] > out.get((x, i), (0.0, 0))[0]:
                         out[x, i] = got
         return out
