@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caesura.llm.components import components
@@ -101,7 +101,12 @@ def identity(s: np.ndarray) -> tuple[int, int, int]:
     return sign(int(mix(np.array([a ^ (b >> 1)], U) + U(len(s)))[0])), sign(a), sign(b)
 
 
-SKETCH = "doc_id long, cid long, n long, vec binary, fine binary, keys array<long>"
+SKETCH = "doc_id long, row_key long, cid long, n long, vec binary, fine binary, keys array<long>"
+
+
+def row_key() -> Column:
+    """Equal for rows of equal id and text: a hash of both. A null id counts as NO_ID."""
+    return F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), F.col("text").cast("string"))
 
 
 def sketches(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
@@ -109,7 +114,7 @@ def sketches(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, chunk in chunks(batch.column(1)):
+            for i, j, chunk in chunks(batch.column(2)):
                 chunk.words()
                 h, rank, at = ranked(chunk, words, frequent, k)
                 cids, sizes, vecs, fines, keys = [], [], [], [], []
@@ -126,9 +131,9 @@ def sketches(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
                     vecs.append(np.minimum(vec, 65_535).astype("<u2").tobytes())
                     order = np.argsort(rank[a:b][first], kind="stable")
                     keys.append(s[order[: n - (PERCENT * n + 99) // 100 + 1]].view(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(cids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(vecs, pa.binary()), pa.array(fines, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=[x.split()[0] for x in SKETCH.split(", ")])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, j - i) for c in (0, 1)), pa.array(cids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(vecs, pa.binary()), pa.array(fines, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=[x.split()[0] for x in SKETCH.split(", ")])
 
-    return docs.select("doc_id", "text").mapInArrow(sketch, SKETCH)
+    return docs.select("doc_id", row_key().alias("row_key"), "text").mapInArrow(sketch, SKETCH)
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -328,8 +333,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, k: int) ->
     return pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b").mapInArrow(test, "a long, b long")
 
 
-def join(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """A row for every row of docs: doc_id, n_shingles, component_id, class_id (equal sets have equal ones)."""
+def _labelled(docs: DataFrame, k: int) -> DataFrame:
+    """A row for every row of docs: doc_id, row_key, n, cid, label (of its component; null without words) and the component's least doc_id. NO_ID stands for null."""
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = materialize(sketches(docs, k), "sketches")
     classes = materialize(sketch.where("n > 0").groupBy("cid").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("vec").alias("vec"), F.first("fine").alias("fine"), F.first("keys").alias("keys")), "classes")
@@ -351,15 +356,28 @@ def join(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     label = components(links.unionByName(more))
     placed = classes.select("cid", "doc_id").join(label.withColumnRenamed("node", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     least = placed.groupBy("label").agg(F.min("doc_id").alias("least"))
-    known = placed.join(least, "label").select("cid", "least")
+    known = placed.join(least, "label").select("cid", "label", "least")
+    return sketch.select("doc_id", "row_key", "n", "cid").join(known, "cid", "left").withColumn("least", F.coalesce("least", "doc_id"))
+
+
+def join(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
+    """A row for every row of docs: doc_id, n_shingles, component_id, class_id (equal sets have equal ones)."""
     named_id = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
-    out = sketch.select("doc_id", "n", "cid").join(known, "cid", "left").withColumn("least", F.coalesce("least", "doc_id"))
-    return out.select(named_id("doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), named_id("least").alias("component_id"), F.col("cid").alias("class_id"))
+    return _labelled(docs, k).select(named_id("doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), named_id("least").alias("component_id"), F.col("cid").alias("class_id"))
 
 
 def representatives(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """The rows of docs with the least doc_id of their component, with all their columns. Of rows with one doc_id, one stays."""
-    found = join(docs, k).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    counts = materialize(found.groupBy(F.col("doc_id").alias("kept_id")).count(), "kept")
-    kept = docs.join(counts.select("kept_id"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return kept if counts.where("count > 1").head() is None else kept.dropDuplicates(["doc_id"])
+    """A row of each component, with all its columns: of the rows with its least doc_id the one with the least row_key.
+
+    Rows that share an id (null or repeated) but no component all stay, and so do all rows without words, which are linked with nothing.
+    """
+    found = _labelled(docs, k).where(F.col("doc_id") == F.col("least"))
+    rows = materialize(found.groupBy("label", "row_key").agg(F.count("*").alias("copies")), "least")
+    worded = rows.where(F.col("label").isNotNull())
+    best = worded.groupBy("label").agg(F.min("row_key").alias("row_key")).join(worded, ["label", "row_key"])
+    kept = materialize(best.select(F.col("row_key").alias("kept_key"), "copies").unionByName(rows.where(F.col("label").isNull()).select(F.col("row_key").alias("kept_key"), F.lit(1).cast("long").alias("copies"))), "kept")
+    of = lambda keys: docs.join(keys.select("kept_key"), row_key() == F.col("kept_key"), "left_semi")
+    if kept.where("copies > 1").head() is None:
+        return of(kept)
+    again = of(kept.where("copies > 1")).withColumn("kept_key", row_key()).dropDuplicates(["kept_key"]).drop("kept_key")
+    return of(kept.where("copies = 1")).unionByName(again)

@@ -64,3 +64,18 @@ def test_bound_is_never_below_the_overlap():
     got = {frozenset(p) for p in zip(*(x.tolist() for x in tree.pairs(np.arange(500))), strict=True)}
     want = {frozenset((i, j)) for i in range(500) for j in range(i) if np.minimum(points[i], points[j]).sum() >= ngram_join.need(sizes[i], sizes[j]) and 100 * min(sizes[i], sizes[j]) >= 85 * max(sizes[i], sizes[j])}
     assert got == want
+
+
+def test_representatives_keep_a_row_of_each_component(spark):
+    rnd = np.random.RandomState(12)
+    text = lambda: " ".join(rnd.choice([f"w{i}" for i in range(300)], 60))
+    near = lambda t: t.rsplit(" ", 1)[0] + " changed"
+    a, b, c, d, e, f, g, h = (text() for _ in range(8))
+    rows = [(None, a), (None, near(a)), (None, b), (None, b), (None, c), (7, d), (7, e), (7, e), (7, near(c)), (1, f), (9, near(f)), (9, g), (3, h), (3, h.upper()), (4, ""), (4, ""), (None, None), (None, " ")]
+    docs = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, source string").repartition(3)
+    kept = ngram_join.representatives(docs)
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert kept.columns == docs.columns
+    families = [{(None, a), (None, near(a))}, {(3, h), (3, h.upper())}]
+    assert [len(x & set(got)) for x in families] == [1, 1]
+    assert [r for r in got if r not in families[0] | families[1]] == sorted([(None, b), (None, c), (7, d), (7, e), (1, f), (9, g), (4, ""), (4, ""), (None, None), (None, " ")], key=str)
