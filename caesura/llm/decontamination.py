@@ -1,12 +1,18 @@
 """Benchmark decontamination: documents that hold a benchmark item, by SimHash windows and exact verification.
 
 Words are runs of letters, digits and non-ASCII characters, A-Z lower-cased. Items are put into classes by their number of
-words (within a tenth or so); for each class, windows of its size run over every document. A window's 64-bit SimHash has
-a bit where more than half of its words' hashes have it; sums over windows are differences of running sums. Item
-fingerprints are indexed in four blocks of 16 bits, each with all values within RADIUS // 4 bits: whatever lies within
-RADIUS bits of an item agrees with it that closely in some block, so the index misses none. Candidates are then aligned
-word by word and verified by the weighted Jaccard similarity of SHINGLE-word shingles (counted with multiplicity; a shingle
-weighs 1 / number of items that have it). An item with fewer words than SHINGLE must occur as it stands.
+words (within a tenth or so); for each class, windows of its size lie over every document at each 1 / STRIDE of their size (each
+word, below 2 * STRIDE words). A window's 64-bit SimHash has a bit where more than half of its words' hashes have it; sums
+over windows are differences of running sums. Item fingerprints are indexed in four blocks of 16 bits, each with all
+values within RADIUS // 4 bits: whatever lies within RADIUS bits of an item agrees with it that closely in some block, so
+the index misses no such window. Candidates are then aligned word by word and verified by the weighted Jaccard similarity of
+SHINGLE-word shingles (counted with multiplicity; a shingle weighs 1 / number of items that have it). An item with fewer
+words than SHINGLE must occur as it stands; its windows start at each word.
+
+No bound holds for fingerprints of edited passages between two strides, so by themselves they may miss some. Anchors make
+the search whole: a window as similar as SIMILAR shares at least that part of the item's weight, so it has one of any
+shingles of the item that weigh more than the rest of it. Wherever a document has one of an item's anchors (such a set, the
+rarest shingles), all windows around it are verified. Windows near which too little weight is shared get no fingerprint.
 
 Items are taken in blocks of ITEMS, so what a task holds does not grow with the benchmark. Null texts have no words;
 items without words match nothing; repeated rows and null ids are judged like others; empty tables give empty results;
@@ -26,7 +32,7 @@ from pyspark.sql import functions as F
 
 from caesura.llm.vec import Chunk, U, chunks, mix
 
-SHINGLE, SIMILAR, RADIUS, ITEMS = 5, 0.8, 19, 20_000
+SHINGLE, SIMILAR, RADIUS, STRIDE, ITEMS = 5, 0.8, 19, 8, 20_000
 GAP = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _BITS = np.arange(256)
 SPREAD = sum(((_BITS >> k) & 1).astype(U) << U(8 * k) for k in range(8))
@@ -84,6 +90,11 @@ class Items:
         self.known_weight = np.array([self.weight[x] for x in self.known.tolist()])
         self.total = np.array([sum(self.weight[x] * n for x, n in c.items()) for c in self.shingles])
         sizes = np.diff(chunk.first)
+        self.sizes = sizes
+        anchors = [self._anchors(k) if n >= SHINGLE else [] for k, n in enumerate(sizes.tolist())]
+        at_known = np.searchsorted(self.known, np.array([x for held in anchors for x in held], U))
+        self.anchored = np.repeat(np.arange(len(rows)), [len(x) for x in anchors])[np.argsort(at_known, kind="stable")]
+        self.anchor_first = np.searchsorted(np.sort(at_known), np.arange(len(self.known) + 1))
         lanes, left = Lanes(chunk.hash), np.flatnonzero(sizes)
         while len(left):
             least = int(sizes[left].min())
@@ -98,6 +109,16 @@ class Items:
                 index.append((np.searchsorted(near[order], np.arange(65_537)).astype(np.int32), np.repeat(np.arange(len(own)), len(NEAR))[order].astype(np.int32)))
             self.classes.append((int(round((sizes[own].min() + sizes[own].max()) / 2)), own, prints, index))
 
+    def _anchors(self, item: int) -> list[int]:
+        """The rarest shingles of an item, without which a window has less than SIMILAR of its weight."""
+        out, rest = [], float(self.total[item])
+        for x, n in sorted(self.shingles[item].items(), key=lambda s: (self.weight[s[0]] < 1, -self.weight[s[0]], s[0])):
+            if rest < SIMILAR * self.total[item] - 1e-6:
+                break
+            out.append(x)
+            rest -= self.weight[x] * n
+        return out
+
     def _verify(self, item: int, words: np.ndarray, shingles: np.ndarray, weights: np.ndarray, first: int, last: int, done: set[int]) -> tuple[float, int]:
         """The best similarity over windows of the item's size that start in first..last and aren't done, and its start. weights: running sums of known shingles'."""
         want, n = self.words[item], len(self.words[item])
@@ -131,14 +152,29 @@ class Items:
         hit = self.known[np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)] == h
         place = np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)
         weights = np.concatenate([[0.0], np.cumsum(np.where(hit, self.known_weight[place], 0.0))])
+
+        def shared(doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+            """The weight of known shingles from start to stop of texts."""
+            count = at[doc + 1] - at[doc]
+            a = np.clip(start, 0, count)
+            return weights[at[doc] + np.clip(stop, a, count)] - weights[at[doc] + a]
+
+        def verify(x: int, i: int, first: int, last: int) -> None:
+            got = self._verify(i, chunk.hash[chunk.first[x] : chunk.first[x + 1]], h[at[x] : at[x + 1]], weights[at[x] : at[x + 1] + 1], first, last, tested.setdefault((x, i), set()))
+            if got[0] >= SIMILAR and got[0] > out.get((x, i), (0.0, 0))[0]:
+                out[x, i] = got
+
         for length, own, prints, index in self.classes:
-            step, small = max(1, length // 6), len(self.words[own[0]]) < SHINGLE
+            step, small = max(1, length // STRIDE), len(self.words[own[0]]) < SHINGLE
             # windows of each text at 0, step, 2 step, ... and at its end; one of the whole text if that is shorter
             count = np.where(size > length, -(-(size - length) // step) + 1, (size * 5 >= length * 3).astype(np.int64))
             doc = np.repeat(np.arange(chunk.n), count)
             k = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
             width = np.minimum(size[doc], length)
             start = np.minimum(k * step, size[doc] - width)
+            if not small:
+                some = shared(doc, start - 2 * step, start + width + 2 * step) >= SIMILAR * self.total[own].min() - 1e-6
+                doc, start, width = doc[some], start[some], width[some]
             for lo in range(0, len(doc), 20_000):
                 d, s, w = doc[lo : lo + 20_000], start[lo : lo + 20_000], width[lo : lo + 20_000]
                 marks = lanes.simhash(chunk.first[d] + s, w)
@@ -152,16 +188,21 @@ class Items:
                     found.append(row[near] * len(own) + item[near])
                 row, item = np.divmod(np.unique(np.concatenate(found)), len(own))
                 if not small:  # a similar window shares as much weight
-                    a = np.maximum(s[row] - 2 * step, 0)
-                    z = np.minimum(s[row] + w[row] + 2 * step, at[d[row] + 1] - at[d[row]])
-                    z = np.maximum(z, a)
-                    some = weights[np.minimum(at[d[row]] + z, len(h))] - weights[np.minimum(at[d[row]] + a, len(h))] >= SIMILAR * self.total[own[item]] - 1e-6
+                    some = shared(d[row], s[row] - 2 * step, s[row] + w[row] + 2 * step) >= SIMILAR * self.total[own[item]] - 1e-6
                     row, item = row[some], item[some]
                 for r, i in zip(row.tolist(), own[item].tolist(), strict=True):
-                    x = int(d[r])
-                    got = self._verify(i, chunk.hash[chunk.first[x] : chunk.first[x + 1]], h[at[x] : at[x + 1]], weights[at[x] : at[x + 1] + 1], int(s[r]) - 2 * step, int(s[r]) + 2 * step, tested.setdefault((x, i), set()))
-                    if got[0] >= SIMILAR and got[0] > out.get((x, i), (0.0, 0))[0]:
-                        out[x, i] = got
+                    verify(int(d[r]), i, int(s[r]) - 2 * step, int(s[r]) + 2 * step)
+        many = np.where(hit, self.anchor_first[place + 1] - self.anchor_first[place], 0)
+        pos = np.flatnonzero(many)
+        for own in np.split(pos, np.flatnonzero(np.diff(np.cumsum(many[pos]) // 1_000_000)) + 1):
+            n = many[own]
+            row = np.repeat(np.arange(len(own)), n)
+            item = self.anchored[np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + self.anchor_first[place[own]][row]]
+            doc = np.searchsorted(at, own, "right")[row] - 1
+            where, reach = own[row] - at[doc], self.sizes[item] - SHINGLE
+            some = shared(doc, where - reach, where + reach + 1) >= SIMILAR * self.total[item] - 1e-6
+            for x, i, q, m in zip(doc[some].tolist(), item[some].tolist(), where[some].tolist(), reach[some].tolist(), strict=True):
+                verify(x, i, q - m, q)
         return out
 
 

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from caesura.llm import decontamination as dec
 
@@ -54,3 +55,22 @@ def test_matches(spark):
     kept = {r["doc_id"] for r in dec.drop(table, bench).collect()}
     assert kept == {d for d, _ in docs} - {d for d, _ in want}
     assert dec.find(table.limit(0), bench).count() == 0 and dec.find(table, bench.limit(0)).count() == 0
+
+
+def test_passages_with_far_fingerprints_are_found():
+    rnd = np.random.RandomState(21)
+    text = lambda n: [f"w{x}" for x in rnd.randint(0, 10**6, n)]
+    items = [(i, " ".join(text(int(n)))) for i, n in enumerate([30, 60, 100, 120] * 5)]
+    words = text(4_000)
+    chunk = dec._chunk([" ".join(words)])
+    marks = dec.Lanes(chunk.hash).simhash(np.arange(4_000), np.ones(4_000, np.int64))
+    docs = []
+    for _, item in items:
+        w, own = item.split(), dec._chunk([item])
+        far = np.argsort(-np.bitwise_count(marks ^ dec.Lanes(own.hash).simhash(np.zeros(1, np.int64), np.array([len(w)]))).astype(np.int64), kind="stable")
+        n = (len(w) - 4) // 9 - 1
+        other = [words[k] for k in far[: 140 + n]]
+        docs.append(" ".join(other[n : n + 70] + other[:n] + w[n:] + other[n + 70 :]))
+    want = {(k, k) for k, t in enumerate(docs) if plain([(k, t)], [items[k]])}
+    got = dec.Items(items).matches(next(dec.chunks(pa.array(docs)))[2])
+    assert len(want) == len(items) and want == set(got)
