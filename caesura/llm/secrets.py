@@ -1,7 +1,9 @@
 """Secret scans: candidates by pattern, and a random forest that takes out the false ones.
 
-A candidate is a run of 16 or more characters of keys, tokens and encodings, or what follows an assignment to a word
-for secrets, or a private key's header. The forest sees its length, the transitions between kinds of characters in it, how much of
+A candidate is a run of 16 or more characters of keys, tokens and encodings (with or without digits), three such runs joined by
+dots, what follows an assignment to a word for secrets or "Bearer", a web token (its dotted parts together), or a private key from
+its BEGIN line to its END line (without one, to the end of the lines of its encoding). The last two are secrets by their form. Of
+the others, the forest sees its length, the transitions between kinds of characters in it, how much of
 it dictionary words cover, its path (the file or source a document came from) and the words beside it. It is trained
 here, from labelled findings: a table given by the caller (at most MAX_LABELLED rows of it, by hash order) or, by default, findings
 made from a seed. Scores are shares of trees; a finding with THRESHOLD or more is a secret.
@@ -24,13 +26,20 @@ from pyspark.sql import functions as F
 TREES, DEPTH, THRESHOLD, MAX_LABELLED = 25, 8, 0.5, 5_000
 HINTS = ("api_key", "apikey", "access_key", "auth", "bearer", "credential", "key", "passwd", "password", "pwd", "secret", "token")
 DUMMIES = ("changeme", "checksum", "commit", "digest", "dummy", "example", "hash", "id", "placeholder", "sample", "sha", "sha1", "test", "uuid", "version", "your")
-ASSIGNED = r"(?:api[_-]?key|apikey|access[_-]?key|auth|credential|passwd|password|pwd|secret|token)[\"']?\s{0,3}[:=]\s{0,3}[\"']?"
-CANDIDATE = re.compile(rf"-----BEGIN [A-Z ]{{0,20}}PRIVATE KEY-----|(?i:{ASSIGNED})(?P<value>[^\s\"']{{8,}})|(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_=-]{{16,}}(?=[^A-Za-z0-9+/_=-]|$)")
+ASSIGNED = r"(?:api[_-]?key|apikey|access[_-]?key|auth|credential|passwd|password|pwd|secret|token|(?<![a-z])key)[\"']?\s{0,3}[:=]\s{0,3}[\"']?"
+#: A private key as far as its END line, if that comes before the next BEGIN; else its headers and the lines of its encoding.
+_BEGIN, _LINE = r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY(?: BLOCK)?-----", r"(?:[ \t]*(?:\r?\n|\\r|\\n)[ \t]*|[ \t]+)"
+_PEM = rf"{_BEGIN}(?:(?:(?!-----BEGIN )[\s\S])*?-----END [A-Z ]{{0,20}}PRIVATE KEY(?: BLOCK)?-----|(?:\r?\n[A-Za-z-]+: [^\r\n]*)*(?:{_LINE}{{1,2}}[A-Za-z0-9+/]{{16,}}={{0,2}})*(?:\r?\n[A-Za-z0-9+/]{{1,15}}={{0,2}}(?=\s|$))?)"
+_JWT = r"(?<![A-Za-z0-9+/_=-])eyJ[A-Za-z0-9_-]{5,}(?:\.[A-Za-z0-9_-]*){2,4}"
+_DOTTED = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9_-]{16,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]{16,}"
+CANDIDATE = re.compile(rf"(?P<pem>{_PEM})|(?P<jwt>{_JWT})|(?i:{ASSIGNED}|(?<![a-z])bearer\s{{1,3}})(?P<value>(?!-----BEGIN |eyJ[\w-]{{5,}}\.)[^\s\"']{{8,}})|{_DOTTED}|(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{16,}}")
 KINDS = np.full(128, 4)
 for _k, _members in enumerate((string.ascii_lowercase, string.ascii_uppercase, string.digits, "+/=_-")):
     KINDS[[ord(c) for c in _members]] = _k
 #: Pieces of words by which candidates are taken for ordinary text.
 PIECES = ("able", "and", "ation", "con", "data", "en", "er", "ers", "file", "for", "ing", "ion", "is", "ly", "ment", "name", "ness", "of", "or", "out", "pre", "re", "st", "th", "the", "ti", "tion", "user", "with")
+#: Syllables of words that hold few of the pieces.
+SYLLABLES = ("ado", "ber", "bil", "cate", "cer", "cha", "ción", "com", "das", "eau", "ein", "fi", "gen", "hei", "ie", "ities", "keit", "lich", "lo", "ma", "mo", "na", "per", "pol", "qui", "ra", "rou", "sa", "sch", "tifi", "tra", "tz", "un", "ung", "va", "ver", "zu")
 _PIECE = re.compile("|".join(sorted(PIECES, key=len, reverse=True)))
 
 
@@ -40,10 +49,8 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
     for m in CANDIDATE.finditer(text):
         if m["value"] is not None:
             out.append((*m.span("value"), "assigned"))
-        elif m[0].startswith("-----BEGIN"):
-            out.append((*m.span(), "private_key"))
-        elif any(c.isdigit() for c in m[0]):
-            out.append((*m.span(), "run"))
+        else:
+            out.append((*m.span(), "private_key" if m["pem"] else "web_token" if m["jwt"] else "run"))
     return out
 
 
@@ -86,7 +93,8 @@ class Forest:
                 impurity = cut * p * (1 - p) + (len(y) - cut) * q * (1 - q)
                 k = int(impurity.argmin())
                 if best is None or impurity[k] < best[0]:
-                    best = (impurity[k], int(f), float((v[cut[k]] + v[cut[k] - 1]) / 2))
+                    low, high = float(v[cut[k] - 1]), float(v[cut[k]])
+                    best = (impurity[k], int(f), (low + high) / 2 if (low + high) / 2 < high else low)
         if best is None:
             return share
         left = x[:, best[1]] <= best[2]
@@ -131,10 +139,33 @@ def made_findings(n: int = 3_000, seed: int = 5) -> list[tuple[str, str, str, st
     return out
 
 
+def made_without_digits(n: int = 4_000, seed: int = 6) -> list[tuple[str, str, str, str, int]]:
+    """Like made_findings(), of runs that mostly have no digit, and of dotted ones."""
+    rnd = np.random.RandomState(seed)
+    pick = lambda letters, k: "".join(rnd.choice(list(letters), k))
+    full, url = string.ascii_letters + string.digits, string.ascii_letters + string.digits + "-_"
+    word = lambda a=1, b=4: "".join(rnd.choice(PIECES, rnd.randint(a, b)))
+    prose = lambda: " ".join(word() for _ in range(4))
+    foreign = lambda a, b: "".join(rnd.choice(SYLLABLES + PIECES, rnd.randint(a, b))).replace("ó", "")
+    out = []
+    for k in range(n):
+        before, after, kind = prose() + " ", rnd.choice([" ", ". ", ", ", "!! "]) + prose(), rnd.randint(8)
+        if k % 2:
+            value = (pick(string.ascii_letters, rnd.randint(16, 64)), pick(string.ascii_lowercase, rnd.randint(20, 64)), pick(string.ascii_uppercase, rnd.randint(20, 64)), ".".join(pick(url, j) for j in (24, 6, 27)), pick(string.ascii_letters, 40), pick(full, 40), pick(string.ascii_letters + "+/", 44), pick(string.ascii_letters, rnd.randint(16, 30)))[kind]
+            before += rnd.choice(["", "", "Bearer ", "key = ", "token: ", "secret=\""])
+        else:
+            value = (rnd.choice([word(6, 12), foreign(5, 10), foreign(3, 6)]), rnd.choice([word(6, 12), foreign(5, 10)]), pick("-=_", 1) * rnd.randint(16, 80), "-".join(word(1, 3) for _ in range(6)), "/".join(word(1, 4) for _ in range(7)), "_".join(word(1, 3).upper() for _ in range(6)), "".join(word(1, 3).capitalize() for _ in range(6)), f"{word(7, 10)}.{word(2, 4)}.{word(7, 10)}")[kind]
+            if kind < 2 and (case := rnd.randint(4)) < 2:
+                value = value.upper() if case else value.capitalize()
+            before += rnd.choice(["", "", "", "bearer ", "the key = ", "auth: "], p=[0.3, 0.3, 0.2, 0.1, 0.05, 0.05])
+        out.append((value, before, after, str(rnd.choice(["src/app.py", "src3", "notes.txt", ""])), k % 2))
+    return out
+
+
 def train(labelled: DataFrame | None = None) -> Forest:
     """A forest from labelled findings (value, before, after, path, label): at most MAX_LABELLED rows, by hash order."""
     if labelled is None:
-        rows = made_findings()
+        rows = made_findings() + made_without_digits()
     else:
         bounded = labelled.orderBy(F.xxhash64("value", "before", "after", "path", "label")).limit(MAX_LABELLED)
         rows = [(r["value"] or "", r["before"] or "", r["after"] or "", r["path"] or "", int(r["label"])) for r in bounded.collect()]
@@ -148,7 +179,7 @@ def judged(text: str, path: str, forest: Forest) -> list[tuple[int, int, str, fl
     if not found:
         return []
     scores = forest.score(np.array([features(text[a:b], text[max(0, a - 60) : a], text[b : b + 40], path) for a, b, _ in found]))
-    return [(a, b, kind, 1.0 if kind == "private_key" else float(s)) for (a, b, kind), s in zip(found, scores, strict=True)]
+    return [(a, b, kind, 1.0 if kind in ("private_key", "web_token") else float(s)) for (a, b, kind), s in zip(found, scores, strict=True)]
 
 
 FINDINGS = "doc_id long, start_char long, end_char long, kind string, score double, is_secret boolean"
