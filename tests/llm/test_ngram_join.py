@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from caesura.llm import ngram_join
@@ -50,18 +51,40 @@ def test_components(spark, rows):
     assert sorted((tuple(r)[:3] for r in ngram_join.join(docs).collect()), key=str) == plain(rows)
 
 
+def test_hot_blocks_are_tiled_and_long_texts_and_families_kept_whole(spark):
+    rnd = np.random.RandomState(8)
+    long = [f"v{i}" for i in rnd.randint(0, 5_000, 30_000)]
+    family = [f"u{i}" for i in rnd.randint(0, 200, 90)]
+    rows = [(1, " ".join(long)), (2, " ".join([*long[:20_000], "x", *long[20_001:]])), (3, " ".join(long[:20_000]))]
+    for i in range(150):  # a chain of copies, each a few words on from the last
+        family[rnd.randint(len(family))] = str(i)
+        rows.append((10 + i, " ".join(family)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = ngram_join._labelled(docs, 4, hot=7, cell_bytes=5_000).select("doc_id", "n", "least")
+    assert sorted((tuple(r) for r in found.collect()), key=str) == plain(rows)
+    key, at = ngram_join.tiled(np.array([5, 9], ngram_join.U), np.array([0, 1], np.int32), 2, np.array([9], ngram_join.U), np.array([3]))
+    assert at.tolist() == [0, 1, 1, 1] and len(set(key.tolist())) == 4
+    other, _ = ngram_join.tiled(np.array([9], ngram_join.U), np.array([4], np.int32), 1, np.array([9], ngram_join.U), np.array([3]))
+    assert len(set(key.tolist()) & set(other.tolist())) == 1
+
+
 def test_bound_is_never_below_the_overlap():
     rnd = np.random.RandomState(3)
+    vector = lambda x: ngram_join.count_vector(x.astype(ngram_join.U), ngram_join.groups_of(len(x))).tobytes()
+    blob = rnd.randint(0, 128, (40, 8_192)).astype("u1")
+    assert (ngram_join._sums(blob) == blob.sum(1)).all() and (ngram_join._sums(np.full((2, 4_096), 127, "u1")) == 127 * 4_096).all()
+    sets = [np.repeat(np.arange(4) * 64, 100) + np.tile(np.arange(100) * 4096, 4)]  # few groups
     for _ in range(50):
-        n = rnd.randint(1, 3000)
-        a = np.unique(rnd.randint(0, 4000, n))
-        b = np.unique(np.concatenate([a[: n // 2], rnd.randint(0, 4000, n)]))
-        va, vb = (np.bincount(x % ngram_join.groups_of(len(x)), minlength=ngram_join.groups_of(len(x))) for x in (a, b))
-        size = min(len(va), len(vb))
-        assert np.minimum(ngram_join.fold(va, size), ngram_join.fold(vb, size)).sum() >= len(np.intersect1d(a, b))
+        a = np.unique(rnd.randint(0, 9000, rnd.randint(1, 7000)))
+        sets += [a, np.unique(np.concatenate([a[: len(a) // 2], rnd.randint(0, 9000, len(a))])), np.unique(np.concatenate([a[:-1], rnd.randint(0, 9000, 3)]))]
+    vectors, n = ngram_join.Vectors(pa.array([vector(x) for x in sets], pa.binary())), np.array([len(x) for x in sets])
+    x, y = (z.reshape(-1) for z in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    may = vectors.may_link(x, y, n[x], n[y])
+    links = np.array([len(np.intersect1d(sets[i], sets[j])) >= ngram_join.need(n[i], n[j]) for i, j in zip(x, y, strict=True)])
+    assert not (links & ~may).any() and may.sum() < 5 * links.sum()
     points = rnd.poisson(3, (500, 64))
     tree, sizes = ngram_join.CountTree(points, points.sum(1)), points.sum(1)
-    got = {frozenset(p) for p in zip(*(x.tolist() for x in tree.pairs(np.arange(500))), strict=True)}
+    got = {frozenset(p) for part in tree.pairs(np.arange(500), sizes * 2) for p in zip(*(x.tolist() for x in part), strict=True)}
     want = {frozenset((i, j)) for i in range(500) for j in range(i) if np.minimum(points[i], points[j]).sum() >= ngram_join.need(sizes[i], sizes[j]) and 100 * min(sizes[i], sizes[j]) >= 85 * max(sizes[i], sizes[j])}
     assert got == want
 
