@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from caesura.llm.store import materialize
 from caesura.llm.vec import LOWER, SPACE, Ranges, U, chunks, mix
@@ -29,6 +30,8 @@ from caesura.llm.vec import LOWER, SPACE, Ranges, U, chunks, mix
 MIN_WORDS, MAX_REPEATED = 50, 50
 MIN_BYTES, MIN_COMMON = 200, 120
 MAX_CLASS, MAX_WORD = 0.33, 0.32
+#: So many languages' references (under 1 kB each) are sent to all executors.
+BROADCAST_LANGUAGES = 10_000
 SYMBOLS = b"#*$%&|<>"
 #: Byte classes; any other byte is of class 5.
 CLASSES = (b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b".,;:!?'\"()-", SYMBOLS + b"@[]{}=_/\\+~^`")
@@ -63,7 +66,8 @@ def _later(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def features(docs: DataFrame, carry: bool = False) -> DataFrame:
-    """Counts and histograms by document (with its text, if carried)."""
+    """Counts and histograms by document (with its row, all columns as they are, if carried)."""
+    place = docs.columns.index("text") if carry else 0
     kind = np.full(256, len(CLASSES), np.int64)
     for k, members in enumerate(CLASSES):
         kind[list(members)] = k
@@ -74,7 +78,7 @@ def features(docs: DataFrame, carry: bool = False) -> DataFrame:
         order = np.argsort(listed)
         ranked = listed[order]
         for batch in batches:
-            for i, j, chunk in chunks(batch.column(3)):
+            for i, j, chunk in chunks(batch.column(3).field(place) if carry else batch.column(3)):
                 chunk.words()
                 n, b = chunk.n, chunk.b
                 head = (b & 0xC0) != 0x80
@@ -109,21 +113,17 @@ def features(docs: DataFrame, carry: bool = False) -> DataFrame:
                     *(batch.column(k).slice(i, j - i) for k in (0, 1, 2)), size, chunk.total(chunk.solid & head), chunk.total(symbol[b]), np.bincount(line_doc[again], minlength=n), chunk.total(covered[: len(chunk.start)], chunk.first), chunk.total(chunk.solid),
                     *(pa.array(list(x.astype(np.int64)), pa.list_(pa.int64())) for x in (classes, common)), *([batch.column(3).slice(i, j - i)] * carry),
                 ]
-                yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x.astype(np.int64)) for x in columns], names=[x.split()[0] for x in FEATURES.split(", ")] + ["text"] * carry)
+                yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x.astype(np.int64)) for x in columns], names=[x.split()[0] for x in FEATURES.split(", ")] + ["row"] * carry)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), row_key().alias("row_key"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(count, FEATURES + ", text string" * carry)
-
-
-def row_key() -> Column:
-    """Equal for rows with equal verdicts: the hash of all that a verdict depends on, and the id."""
-    return F.xxhash64("doc_id", "lang", "text")
+    text = F.struct(*docs.columns).alias("row") if carry else F.col("text").cast("string").alias("text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), text)
+    out = T._parse_datatype_string(FEATURES)
+    return rows.select("doc_id", "lang", F.xxhash64("doc_id", "lang", F.col("row.text") if carry else F.col("text")).alias("row_key"), "row" if carry else "text").mapInArrow(count, out.add("row", rows.schema["row"].dataType) if carry else out)
 
 
 def keep(docs: DataFrame) -> DataFrame:
-    """The rows of docs that pass, with all their columns."""
-    good = judge(docs).where("kept").select(F.col("row_key").alias("good_row_key")).distinct()
-    return docs.join(good, row_key() == F.col("good_row_key"), "left_semi")
+    """The rows of docs that pass, with all their columns. Rows are carried beside their counts, so no text is shuffled."""
+    return judge(docs, carry=True).where("kept").select("row.*")
 
 
 def base_failed() -> Column:
@@ -149,7 +149,10 @@ def references(found: DataFrame) -> DataFrame:
 def judge(docs: DataFrame, carry: bool = False) -> DataFrame:
     """A row for every row of docs: base counts, base_failed, kept, class_distance, word_distance (null where a guard says so)."""
     found = materialize(features(docs, carry), "features")
-    joined = found.join(references(found), F.col("lang").eqNullSafe(F.col("language")), "left")
+    known = materialize(references(found), "references")
+    if known.count() <= BROADCAST_LANGUAGES:  # else the join shuffles
+        known = F.broadcast(known)
+    joined = found.join(known, F.col("lang").eqNullSafe(F.col("language")), "left")
     listed = F.aggregate("common", F.lit(0).cast("long"), lambda s, x: s + x)
     words = F.concat("common", F.array(F.col("n_words") - listed))
     apart = joined.withColumns({
@@ -158,4 +161,4 @@ def judge(docs: DataFrame, carry: bool = False) -> DataFrame:
         "base_failed": base_failed(),
     })
     kept = ~F.col("base_failed") & (F.coalesce("class_distance", F.lit(0.0)) <= MAX_CLASS) & (F.coalesce("word_distance", F.lit(0.0)) <= MAX_WORD)
-    return apart.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), F.round("class_distance", 4).alias("class_distance"), F.round("word_distance", 4).alias("word_distance"), "row_key", *["text"] * carry)
+    return apart.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), F.round("class_distance", 4).alias("class_distance"), F.round("word_distance", 4).alias("word_distance"), "row_key", *["row"] * carry)

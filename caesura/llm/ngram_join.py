@@ -40,7 +40,7 @@ from caesura.llm.store import discard, materialize
 from caesura.llm.vec import Chunk, U, chunks, mix
 
 SHINGLE, PERCENT = 4, 85
-#: Rows of a block beyond which it is dealt out in tiles; wanted sets up to which their keys are sent to all executors.
+#: Rows of a block beyond which it is dealt out in tiles; rows (of up to 40 bytes) up to which a table is sent to all executors.
 HOT, BROADCAST_ROWS = 50_000, 200_000
 #: Sizes of the two lists that shape the order of shingles.
 COMMON_WORDS, COMMON_SHINGLES = 1_000, 50_000
@@ -61,8 +61,8 @@ def need(n, m):
 
 def groups_of(n: int) -> int:
     """Dimensions of a set's count vector."""
-    size = 64 if n < 256 else 256
-    while n >= 8 * size:
+    size = 64 if n < 1_024 else 256
+    while n >= 16 * size:
         size *= 2
     return size
 
@@ -179,18 +179,22 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """cid, set (sorted hashes) and finer count vector of the classes wanted (cid, a, b, row_key), made again from a text of each."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()  # a task gives each set once; that another gives it too does no harm
         for batch in batches:
             for _, _, chunk in chunks(batch.column(0), CHUNK):
                 chunk.words()
                 h, at = chunk.shingles(k, True)
-                found = [np.unique(h[x:y]) for x, y in zip(at[:-1], at[1:], strict=True)]
-                ids = [identity(s) for s in found]
+                made = {identity(s): s for s in (np.unique(h[x:y]) for x, y in zip(at[:-1], at[1:], strict=True))}
+                ids, found = [i for i in made if i not in seen], [s for i, s in made.items() if i not in seen]
+                seen.update(ids)
                 yield pa.RecordBatch.from_arrays([*(pa.array([x[c] for x in ids], pa.int64()) for c in (0, 1)), pa.array([s.tobytes() for s in found], pa.binary()), pa.array([count_vector(s, fine_groups_of(max(len(s), 1))).tobytes() for s in found], pa.binary())], names=["a", "b", "set", "fine"])
 
+    few = wanted.count() <= BROADCAST_ROWS
     keys = wanted.select("row_key").distinct()
-    keys = F.broadcast(keys) if wanted.count() <= BROADCAST_ROWS else keys.hint("shuffle_hash")
+    keys = F.broadcast(keys) if few else keys.hint("shuffle_hash")
     found = docs.select(row_key().alias("row_key"), "text").join(keys, "row_key", "left_semi").select("text").mapInArrow(sets, "a long, b long, set binary, fine binary")
-    return found.join(wanted.select("a", "b", "cid"), ["a", "b"]).groupBy("cid").agg(F.first("set").alias("set"), F.first("fine").alias("fine"))
+    named = wanted.select("a", "b", "cid")
+    return found.join(F.broadcast(named) if few else named, ["a", "b"]).select("cid", "set", "fine")
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -481,6 +485,11 @@ def _tiles(near: DataFrame, classes: DataFrame, size: Column, cell_bytes: int) -
     return materialize(group.join(sized, "group").select("group", "cid", "n", "tiles", deal(0).alias("tile"), ((F.col("tiles") > 1) & (deal(1) == 0)).alias("sampled")), "tiles")
 
 
+def _sent(df: DataFrame) -> DataFrame:
+    """df, to be sent to all executors if it has few rows, so that what it is joined with stays in place."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def _links(docs: DataFrame, classes: DataFrame, blocks: DataFrame, k: int, cell_bytes: int) -> DataFrame:
     """label by node, for the classes that link with any."""
     rows = blocks.join(classes.select("cid", "vec"), "cid").select("key", "cid", "n", "most", "vec").repartition("key").sortWithinPartitions("key", "n", "cid")
@@ -491,14 +500,14 @@ def _links(docs: DataFrame, classes: DataFrame, blocks: DataFrame, k: int, cell_
 
     at = _tiles(near, classes, F.least(2 * F.col("n"), F.lit(4_096)), cell_bytes)
     two = at.select("*", each).where("tiles = 1 OR tile <> other").select(cell(F.least("tile", "other"), F.greatest("tile", "other")), "cid", "n")
-    rows = two.join(sets.select("cid", "fine"), "cid").select("cell", "cid", "n", "fine").repartition("cell").sortWithinPartitions("cell")
+    rows = sets.select("cid", "fine").join(_sent(two), "cid").select("cell", "cid", "n", "fine").repartition("cell").sortWithinPartitions("cell")
     finer = materialize(rows.mapInArrow(_finer, PAIR).distinct(), "searched")
     discard(near, at)
     at = _tiles(finer, classes, F.col("n") * 8, cell_bytes)
 
     def linked(cells: DataFrame) -> DataFrame:
         """cells: cell, cid, label, visits."""
-        rows = cells.join(sets.select("cid", "set"), "cid").select("cell", "cid", "label", "visits", "set")
+        rows = sets.select("cid", "set").join(_sent(cells), "cid").select("cell", "cid", "label", "visits", "set")
         return materialize(rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(_cells, PAIR), "links")
 
     own = at.select(cell("tile"), "cid", F.col("cid").alias("label"), F.lit(False).alias("visits"))

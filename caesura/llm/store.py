@@ -7,7 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is written, shuffle files go when it is written, and Python gets rows in small batches.
+WHILE_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "16777216"}
 
 
 def workspace(spark: SparkSession, name: str) -> str:
@@ -26,13 +27,15 @@ def workspace(spark: SparkSession, name: str) -> str:
 
 def write(df: DataFrame, path: str) -> None:
     """df as Parquet; its shuffle files go when it is written, not at some later collection of garbage."""
-    spark = df.sparkSession
-    before = spark.conf.get(CLEAN, None)
+    conf = df.sparkSession.conf
+    before = {k: conf.get(k, None) for k in WHILE_WRITING}
     try:
-        spark.conf.set(CLEAN, "true")
+        for k, v in WHILE_WRITING.items():
+            conf.set(k, v)
         df.select("*").write.parquet(path)
     finally:
-        spark.conf.unset(CLEAN) if before is None else spark.conf.set(CLEAN, before)
+        for k, v in before.items():
+            conf.unset(k) if v is None else conf.set(k, v)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -107,7 +107,7 @@ class Chunk:
         return sums[edge[1:]] - sums[edge[:-1]]
 
 
-def chunks(texts: pa.Array, size: int = 2_000_000) -> Iterator[tuple[int, int, Chunk]]:
+def chunks(texts: pa.Array, size: int = 1_000_000) -> Iterator[tuple[int, int, Chunk]]:
     """(from, to, Chunk) over an Arrow string column, about size bytes each; a null counts as empty. A longer text comes alone."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
