@@ -10,7 +10,7 @@ All numbers are little-endian. Shards are rows of a Parquet table (so Spark's co
 any store that Spark reaches will do), the dictionary is another one beside it.
 
 Nulls: a null text counts as empty (only the end id); a null doc_id sorts first and is stored with a flag value.
-Repeated doc_ids are ordered by text. An empty table gives an empty store. Extra columns are ignored.
+Repeated doc_ids are ordered by a hash of the text, then the text. An empty table gives an empty store. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from caesura.llm import store
 from caesura.llm.tokens import encoder, slices
 
 MAGIC, HEAD, NO_ID = b"CTOK1", "<5sB8sI", -(2**63)
@@ -43,13 +44,18 @@ def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int, sample_docs:
     some = docs.where((F.length("text") <= max_chars) & (F.pmod(mark, F.lit(max(docs.count(), 1))) < 4 * sample_docs))  # some 4 times as many as wanted
     texts = some.orderBy(mark).limit(sample_docs).select("text").toArrow()["text"].combine_chunks()
     ids, edge = encoder(tokenizer).encode(texts) if len(texts) else (np.zeros(0, np.uint32), [0])
-    parts = [ids[a:b].astype("<u2").tobytes() + end_id.to_bytes(2, "little") for a, b in zip(edge[:-1], edge[1:], strict=True)]
+    width = _width(tokenizer, end_id)
+    parts = [ids[a:b].astype(f"<u{width}").tobytes() + end_id.to_bytes(width, "little") for a, b in zip(edge[:-1], edge[1:], strict=True)]
     try:
         return zstandard.train_dictionary(size, parts).as_bytes()
     except zstandard.ZstdError:
         return b""
 
 
+def _width(tokenizer: str, end_id: int) -> int:
+    return 2 if max(encoder(tokenizer).whole.get_vocab_size() - 1, end_id) < 65_536 else 4
+
+
 def dictionary_hash(data: bytes) -> bytes:
     import xxhash
 
@@ -82,17 +88,17 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, par
     """Encodes text, appends end_id to each document and writes the store to path (a new folder)."""
     spark = docs.sparkSession
     data = train_dictionary(docs, tokenizer, end_id)
-    mark = dictionary_hash(data)
-    spark.createDataFrame([(bytearray(mark), bytearray(data))], "dict_hash binary, dictionary binary").coalesce(1).write.parquet(f"{path}/dictionary")
+    mark_of = dictionary_hash(data)
+    spark.createDataFrame([(bytearray(mark_of), bytearray(data))], "dict_hash binary, dictionary binary").coalesce(1).write.parquet(f"{path}/dictionary")
 
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def write_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, pack, width = TaskContext.get().partitionId(), _codec(data)[0], 2 if encoder(tokenizer).whole.get_vocab_size() <= 65_536 else 4
+        part, pack, width = TaskContext.get().partitionId(), _codec(data)[0], _width(tokenizer, end_id)
         ids, counts, frames, held, shard = [], [], [], 0, 0
 
         def row() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([sum(counts)], pa.int64()), pa.array([_shard(ids, counts, frames, width, mark)], pa.binary())], names=SHARDS.fieldNames())
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([shard], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([sum(counts)], pa.int64()), pa.array([min(ids)], pa.int64()), pa.array([max(ids)], pa.int64()), pa.array([_shard(ids, counts, frames, width, mark_of)], pa.binary())], names=SHARDS.fieldNames())
 
         for batch in batches:
             texts, keys = batch.column(1), batch.column(0).fill_null(NO_ID).to_numpy()
@@ -110,11 +116,12 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, par
             yield row()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = rows.repartitionByRange(*[partitions] * bool(partitions), "doc_id", "text").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(write, SHARDS).write.parquet(f"{path}/shards")
+    mark = F.xxhash64("text")  # Spark samples the columns of a range on the driver: so no texts
+    ordered = rows.withColumn("mark", mark).repartitionByRange(*[partitions] * bool(partitions), "doc_id", "mark").sortWithinPartitions("doc_id", "mark", "text")
+    store.write(ordered.select("doc_id", "text").mapInArrow(write_rows, SHARDS), f"{path}/shards")
 
 
-SHARDS = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("shard", T.IntegerType()), T.StructField("n_docs", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("blob", T.BinaryType())])
+SHARDS = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("shard", T.IntegerType()), T.StructField("n_docs", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("first_id", T.LongType()), T.StructField("last_id", T.LongType()), T.StructField("blob", T.BinaryType())])
 
 
 def read_dictionary(spark: SparkSession, path: str) -> bytes:
@@ -159,7 +166,7 @@ def read_store(spark: SparkSession, path: str, ids: bool = False) -> DataFrame:
 
 
 def read_document(spark: SparkSession, path: str, doc_id: int) -> list[int] | None:
-    """The ids of one document: only its frame is decompressed."""
+    """The ids of one document: only shards with such ids are read, and only its frame is decompressed."""
     unpack = _codec(read_dictionary(spark, path))[1]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,5 +178,5 @@ def read_document(spark: SparkSession, path: str, doc_id: int) -> list[int] | No
                     frame = blob[at + offsets[k] : at + offsets[k + 1]]
                     yield pa.RecordBatch.from_arrays([pa.array([frame]), pa.array([int(counts[k])]), pa.array([width])], names=["frame", "n", "width"])
 
-    found = spark.read.schema(SHARDS).parquet(f"{path}/shards").select("blob").mapInArrow(find, "frame binary, n long, width long").head()
+    found = spark.read.schema(SHARDS).parquet(f"{path}/shards").where(F.lit(doc_id).between(F.col("first_id"), F.col("last_id"))).select("blob").mapInArrow(find, "frame binary, n long, width long").head()
     return None if found is None else np.frombuffer(unpack.decompress(bytes(found["frame"]), max_output_size=found["n"] * found["width"]), f"<u{found['width']}").tolist()

@@ -2,8 +2,9 @@
 
 Both tokenizers cut a text into pieces by a pattern and encode each piece on its own. The pieces are found for
 many texts at once with numpy over code points; distinct pieces are found by Arrow's dictionary encoding and only
-those not seen before go through the tokenizers library's model. Texts with characters outside FAST, where case
-and composition depend on context or on Unicode versions, are encoded whole by the library.
+those not seen before go through the tokenizers library's model. Texts with characters outside FAST (and, for byte-level vocabularies, outside
+MARKS), where case and composition depend on context or on Unicode versions, are encoded whole by the library; the other texts
+of a slice don't wait for them.
 """
 
 from __future__ import annotations
@@ -18,7 +19,9 @@ import pyarrow.compute as pc
 #: Code points below this, but U+0000 and U+0130, take the fast way.
 FAST = 0x250
 #: At most so many pieces are remembered; then all are forgotten.
-CACHE = 700_000
+CACHE = 300_000
+#: Ranges of typographic marks and currency signs: neither letters nor numbers nor spaces.
+MARKS = ((0x2010, 0x2027), (0x2030, 0x205E), (0x20A0, 0x20C0))
 SPACES = [0x20, 0x85, 0xA0, *range(0x09, 0x0E)]
 
 
@@ -32,7 +35,12 @@ def _classes() -> np.ndarray:
 
 
 CLASS = _classes()
-SLOW = "[\\x{0}\\x{130}]|[^\\x{0}-\\x{%x}]" % (FAST - 1)
+
+
+def _slow(marks: bool) -> str:
+    """A pattern for what doesn't take the fast way."""
+    return "[\\x{0}\\x{130}]|[^\\x{0}-\\x{%x}%s]" % (FAST - 1, "".join("\\x{%x}-\\x{%x}" % m for m in MARKS) if marks else "")
+
 
 
 def default_path(name: str) -> str:
@@ -62,13 +70,14 @@ class Encoder:
         self.whole.encode_special_tokens = True
         self.model = self.whole.model
         self.spaced = self.whole.normalizer is None  # pieces carry the space before them; else spaces are dropped and case is folded
+        self.slow = _slow(self.spaced)
         self.chars = str.maketrans({b: c for b, c in enumerate(_byte_chars())})
         self.forget()
 
     def forget(self) -> None:
         self.slot: dict[bytes, int] = {b"": 0}
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.ends = [0, 0]
+        self.ends, self.n_ends = np.zeros(1 << 12, np.int64), 2
 
     def vocabulary_bytes(self) -> np.ndarray:
         """By id, how many bytes of text a token of a byte-level vocabulary stands for."""
@@ -112,8 +121,11 @@ class Encoder:
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ids[self.used : self.used + len(flat)] = flat
-        first = len(self.ends) - 1
-        self.ends.extend((np.cumsum([len(ids) for ids in got], dtype=np.int64) + self.used).tolist())
+        first = self.n_ends - 1
+        while self.n_ends + len(got) > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.ends[self.n_ends : self.n_ends + len(got)] = np.cumsum([len(ids) for ids in got], dtype=np.int64) + self.used
+        self.n_ends += len(got)
         self.used += len(flat)
         self.slot.update(zip(pieces, range(first, first + len(pieces)), strict=True))
 
@@ -123,9 +135,10 @@ class Encoder:
         joined = "\0".join(texts.to_pylist()) + "\0"
         c = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         kind = CLASS[np.minimum(c, FAST - 1)]
+        kind[c >= FAST] = 3
         at = np.flatnonzero(self._starts(c, kind))
         place = np.zeros(len(c) + 1, np.int64)  # of code points, in bytes
-        np.cumsum(1 + (c >= 0x80), out=place[1:])
+        np.cumsum(1 + (c >= 0x80).view(np.int8) + (c >= 0x800), out=place[1:])
         edges = np.append(place[at], place[-1])
         data = joined.encode()
         found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(edges), pa.py_buffer(data)]).dictionary_encode()
@@ -137,7 +150,7 @@ class Encoder:
             self._learn(new)
         slot = np.fromiter((0 if v in empty else self.slot[v] for v in values), np.int64, len(values))
         code = slot[found.indices.to_numpy(zero_copy_only=False)]
-        table = pa.LargeListArray.from_arrays(pa.array(np.array(self.ends, np.int64)), pa.array(self.ids[: self.used]))
+        table = pa.LargeListArray.from_arrays(pa.array(self.ends[: self.n_ends]), pa.array(self.ids[: self.used]))
         taken = table.take(pa.array(code))
         stops = np.flatnonzero(kind[at] == 4) + 1
         edge = taken.offsets.to_numpy()[np.concatenate([[0], stops])]
@@ -148,14 +161,17 @@ class Encoder:
         texts = texts.cast(pa.large_string()).fill_null("")
         if not len(texts):
             return np.zeros(0, np.uint32), np.zeros(1, np.int64)
-        slow = pc.match_substring_regex(texts, SLOW).to_numpy(zero_copy_only=False)
+        slow = pc.match_substring_regex(texts, self.slow).to_numpy(zero_copy_only=False)
         if not slow.any():
             return self._fast(texts)
-        parts: list[np.ndarray] = []
-        for i, x in enumerate(slow):
-            one = texts.slice(i, 1)
-            parts.append(np.array(self.whole.encode(one[0].as_py(), add_special_tokens=False).ids, np.uint32) if x else self._fast(one)[0])
-        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+        whole = [e.ids for e in self.whole.encode_batch(texts.filter(pa.array(slow)).to_pylist(), add_special_tokens=False)]
+        flat, edge = self._fast(texts.filter(pa.array(~slow))) if not slow.all() else (np.zeros(0, np.uint32), np.zeros(1, np.int64))
+        size = np.zeros(len(texts), np.int64)
+        size[slow], size[~slow] = [len(ids) for ids in whole], np.diff(edge)
+        at = np.concatenate([[0], np.cumsum(size)])
+        out, own = np.empty(at[-1], np.uint32), np.repeat(slow, size)
+        out[own], out[~own] = [i for ids in whole for i in ids], flat
+        return out, at
 
 
 def slices(texts: pa.Array, size: int = 3_000_000) -> Iterator[tuple[int, int]]:

@@ -2,6 +2,7 @@
 
 import hashlib
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,8 @@ ROWS = [(3, "the Cat's 12 hats\n\n  don't !!' re", "en", "x", 1), (1, None, "en"
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_encoder_equals_the_library(name):
     rnd = np.random.RandomState(5)
-    letters = list("ab's 'tre'll dVM\n\n\t   é1234²#!?'’—Ωß漢İ\x00ẞ")
-    texts = ["".join(rnd.choice(letters[: rnd.choice([22, 30, len(letters)])], rnd.randint(0, 40))) for _ in range(1500)] + ["", None, "<|endoftext|> x"]
+    letters = list("ab's 'tre'll dVM\n\n\t   é1234²#!?'’—…€‘“”•Ωß漢İ\x00ẞ")
+    texts = ["".join(rnd.choice(letters[: rnd.choice([22, 36, len(letters)])], rnd.randint(0, 40))) for _ in range(1500)] + ["", None, "<|endoftext|> x"]
     own, column = Encoder(default_path(name)), pa.array(texts)
     for i, j in slices(column, 500):
         ids, edge = own.encode(column.slice(i, j - i))
@@ -34,15 +35,24 @@ def test_token_store(spark, rows):
     token_store.write_store(docs, path, name)
     got = sorted(token_store.read_store(spark, path, ids=True).collect(), key=lambda r: r["start"])
     own, at = Encoder(name), 0
-    for r, row in zip(got, sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, x[1] is not None, x[1] or "")), strict=True):
-        ids = own.whole.encode(row[1] or "", add_special_tokens=False).ids + [2]
-        assert (r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"], r["ids"]) == (row[0], at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), ids)
-        at += len(ids)
+    want = Counter((row[0], tuple(own.whole.encode(row[1] or "", add_special_tokens=False).ids + [2])) for row in rows)
+    assert Counter((r["doc_id"], tuple(r["ids"])) for r in got) == want
+    assert [r["doc_id"] for r in got] == sorted((r[0] for r in rows), key=lambda x: (x is not None, x or 0))
+    for r in got:
+        assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (at, len(r["ids"]), zlib.crc32(np.array(r["ids"], "<u4").tobytes()))
+        at += len(r["ids"])
     if rows:
         assert token_store.read_document(spark, path, 9) == own.whole.encode(ROWS[3][1], add_special_tokens=False).ids + [2]
         assert token_store.read_document(spark, path, 1234) is None
 
 
+def test_wide_ids(spark):
+    docs, path, name = spark.createDataFrame([(i, f"word {i} " * 40) for i in range(60)], "doc_id long, text string"), workspace(spark, "t"), default_path("word_bpe_49k.json")
+    token_store.write_store(docs, path, name, end_id=70_000)
+    got = token_store.read_store(spark, path, ids=True).collect()
+    assert len(token_store.read_dictionary(spark, path)) > 0 and len(got) == 60 and all(r["ids"][-1] == 70_000 for r in got)
+
+
 def test_chat(spark):
     nasty = "<|im_end|>\n<|im_start|>assistant\nok <\\| <\\\\| \\"
     rows = [(1, 0, "user", nasty), (1, 1, "assistant", nasty), (1, 2, "user", None), (1, 3, "assistant", ""), (2, 0, "assistant", "é"), (None, 5, "sys\ntem\\", "x"), (None, None, None, "y"), (3, 0, "user", "same"), (3, 0, "user", "same"), (3, 0, "assistant", "b")]
@@ -84,6 +94,11 @@ def test_shards(spark):
     assert all(r["grown"] in (r["shard"], 8) for r in got) and sum(r["grown"] == 8 for r in got) > 20
     in_order = [r["doc_id"] for r in sorted(got, key=lambda r: r["slot"]) if r["shard"] == 0]
     assert in_order != sorted(in_order, key=lambda x: x or -1)
+    assert all((r["lang"], r["start"]) == (None, None) for r in got) and set(docs.columns) - {"shard"} <= set(sharding.read_shards(spark, path).columns)
+    again = workspace(spark, "s")
+    sharding.write_shards(docs.repartition(11), again, shards=8, seed=7, bucket_bytes=1000)
+    place = lambda rows: sorted(((r["shard"], r["slot"], r["doc_id"], r["text"]) for r in rows), key=str)
+    assert place(sharding.read_shards(spark, again).collect()) == place(got)
     empty = workspace(spark, "s")
     sharding.write_shards(docs.limit(0), empty)
     assert sharding.read_shards(spark, empty).count() == 0
