@@ -6,7 +6,8 @@ word, below 2 * STRIDE words). A window's 64-bit SimHash has a bit where more th
 over windows are differences of running sums. Item fingerprints are indexed in four blocks of 16 bits, each with all
 values within RADIUS // 4 bits: whatever lies within RADIUS bits of an item agrees with it that closely in some block, so
 the index misses no such window. Candidates are then aligned word by word and verified by the weighted Jaccard similarity of
-SHINGLE-word shingles (counted with multiplicity; a shingle weighs 1 / number of items that have it). An item with fewer
+SHINGLE-word shingles (counted with multiplicity; one of the item's weighs 1 / number of items of the whole benchmark that have it,
+any other 1). An item with fewer
 words than SHINGLE must occur as it stands; its windows start at each word.
 
 No bound holds for fingerprints of edited passages between two strides, so by themselves they may miss some. Anchors make
@@ -14,7 +15,8 @@ the search whole: a window as similar as SIMILAR shares at least that part of th
 shingles of the item that weigh more than the rest of it. Wherever a document has one of an item's anchors (such a set, the
 rarest shingles), all windows around it are verified. Windows near which too little weight is shared get no fingerprint.
 
-Items are taken in blocks of ITEMS, so what a task holds does not grow with the benchmark. Null texts have no words;
+Items are dealt by a hash into blocks of about ITEMS, so what the driver and a task hold does not grow with the benchmark; weights
+are those of the whole benchmark, so results don't depend on the blocks. Null texts have no words; long texts are taken whole;
 items without words match nothing; repeated rows and null ids are judged like others; empty tables give empty results;
 extra columns are ignored (in drop(), carried).
 """
@@ -22,6 +24,7 @@ extra columns are ignored (in drop(), carried).
 from __future__ import annotations
 
 import itertools
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -30,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caesura.llm.store import discard, materialize
 from caesura.llm.vec import Chunk, U, chunks, mix
 
 SHINGLE, SIMILAR, RADIUS, STRIDE, ITEMS = 5, 0.8, 19, 8, 20_000
@@ -74,7 +78,8 @@ class Lanes:
 class Items:
     """A block of benchmark items: by class the index of fingerprints, and what verification needs."""
 
-    def __init__(self, rows: list[tuple[int | None, str | None]]):
+    def __init__(self, rows: list[tuple[int | None, str | None]], held: dict[int, int] | None = None):
+        """held: by shingle how many items of the whole benchmark have it, where that is more than one."""
         chunk = _chunk([text for _, text in rows]) if rows else None
         self.classes: list[tuple[int, np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray]]]] = []
         self.ids = [i for i, _ in rows]
@@ -84,8 +89,8 @@ class Items:
         self.words = [chunk.hash[a:b] for a, b in zip(chunk.first[:-1], chunk.first[1:], strict=True)]
         h, at = chunk.shingles(SHINGLE, True)
         self.shingles = [Counter(h[a:b].tolist()) for a, b in zip(at[:-1], at[1:], strict=True)]
-        held = Counter(x for s in self.shingles for x in s)
-        self.weight = {x: 1 / n for x, n in held.items()}
+        held = Counter(x for s in self.shingles for x in s) if held is None else held
+        self.weight = {x: 1 / held.get(x, 1) for s in self.shingles for x in s}
         self.known = np.unique(h)
         self.known_weight = np.array([self.weight[x] for x in self.known.tolist()])
         self.total = np.array([sum(self.weight[x] * n for x, n in c.items()) for c in self.shingles])
@@ -134,7 +139,7 @@ class Items:
                 found = 1.0 if len(words) - q >= n and (words[q : q + n] == want).all() else 0.0
             else:
                 own, wanted = Counter(shingles[q : max(q + n - SHINGLE + 1, q)].tolist()), self.shingles[item]
-                weigh = lambda x: self.weight.get(x, 1.0)
+                weigh = lambda x: self.weight[x] if x in wanted else 1.0
                 both = sum(weigh(x) * min(c, own[x]) for x, c in wanted.items() if x in own)
                 found = both / (sum(weigh(x) * c for x, c in wanted.items()) + sum(weigh(x) * c for x, c in own.items()) - both) if both else 0.0
             best = max(best, (found, -q)) if q == 0 else max(best, (found, q), key=lambda x: x[0])
@@ -206,31 +211,52 @@ class Items:
         return out
 
 
-def blocks(benchmark: DataFrame) -> list[list[tuple[int | None, str | None]]]:
-    """The items in blocks of ITEMS; the driver and a task hold one block's index at a time."""
-    rows = [(r["item_id"], r["text"]) for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).toLocalIterator()]
-    return [rows[i : i + ITEMS] for i in range(0, len(rows), ITEMS)]
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over block, text: block and hash of each distinct shingle of each text."""
+    for batch in batches:
+        for i, j, chunk in chunks(batch.column(1)):
+            chunk.words(gap=GAP)
+            h, at = chunk.shingles(SHINGLE, True)
+            own = [np.unique(h[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
+            block = np.repeat(batch.column(0).slice(i, j - i).to_numpy(), [len(x) for x in own])
+            yield pa.RecordBatch.from_arrays([pa.array(block, pa.int32()), pa.array(np.concatenate(own).view(np.int64) if own else [], pa.int64())], names=["block", "h"])
 
 
-_built: dict[int, Items] = {}
+def blocks(benchmark: DataFrame, items: int = ITEMS) -> Iterator[tuple[str, list[tuple[int | None, str | None]], dict[int, int]]]:
+    """(name, items, what Items() wants as held) of the blocks; the driver holds one at a time."""
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    n = max(1, -(-rows.count() // items))
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)).cast("int"))
+    table = materialize(dealt, "benchmark")
+    found = table.select("block", "text").mapInArrow(_shingles, "block int, h long").groupBy("block", "h").agg(F.count("*").alias("n"))
+    counts = materialize(found, "shingles")
+    held = materialize(counts.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1"), "held")
+    name = uuid.uuid4().hex
+    for k in range(n):
+        own = [(r["item_id"], r["text"]) for r in table.where(F.col("block") == k).collect()]
+        shared = {r["h"] % 2**64: r["n"] for r in held.join(counts.where(F.col("block") == k).select("h"), "h", "left_semi").collect()}
+        if own:
+            yield f"{name}-{k}", sorted(own, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")), shared
+    discard(table, counts, held)
 
 
-def _items(key: int, rows: list) -> Items:
+_built: dict[str, Items] = {}
+
+
+def _items(key: str, rows: list, held: dict[int, int]) -> Items:
     if key not in _built:
         _built.clear()
-        _built[key] = Items(rows)
+        _built[key] = Items(rows, held)
     return _built[key]
 
 
-def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, items: int = ITEMS) -> DataFrame:
     """A row a document and item it holds: doc_id, item_id, similarity, first_word, n_words."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
-    def of(block: list) -> DataFrame:
-        key = hash(str(block))
-
+    def of(key: str, block: list, held: dict[int, int]) -> DataFrame:
         def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items = _items(key, block)
+            items = _items(key, block, held)
             for batch in batches:
                 for i, _, chunk in chunks(batch.column(1), 1_000_000):
                     got = sorted(items.matches(chunk).items())
@@ -239,7 +265,7 @@ def find(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         return rows.mapInArrow(match, MATCHES)
 
-    parts = [of(block) for block in blocks(benchmark)] or [docs.sparkSession.createDataFrame([], MATCHES)]
+    parts = [of(*block) for block in blocks(benchmark, items)] or [docs.sparkSession.createDataFrame([], MATCHES)]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -250,10 +276,9 @@ def drop(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs that hold no item, with all their columns."""
     place = docs.columns.index("text")
     for block in blocks(benchmark):
-        key = hash(str(block))
 
-        def clean(batches: Iterator[pa.RecordBatch], block=block, key=key) -> Iterator[pa.RecordBatch]:
-            items = _items(key, block)
+        def clean(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
+            items = _items(*block)
             for batch in batches:
                 good = np.ones(batch.num_rows, bool)
                 for i, _, chunk in chunks(batch.column(place), 1_000_000):

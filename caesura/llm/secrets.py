@@ -8,19 +8,20 @@ it dictionary words cover, its path (the file or source a document came from) an
 here, from labelled findings: a table given by the caller (at most MAX_LABELLED rows of it, by hash order) or, by default, findings
 made from a seed. Scores are shares of trees; a finding with THRESHOLD or more is a secret.
 
-Whole texts are scanned. A null text has no candidates; null paths count as empty; rows are scanned one by one, so repeated
+Whole texts are scanned, however long. A null text has no candidates; null paths, or a table without that column, count as empty; rows are scanned one by one, so repeated
 rows give repeated findings. Empty tables give empty results; extra columns are ignored (in redact(), carried).
 """
 
 from __future__ import annotations
 
+import functools
 import re
 import string
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TREES, DEPTH, THRESHOLD, MAX_LABELLED = 25, 8, 0.5, 5_000
@@ -165,12 +166,20 @@ def made_without_digits(n: int = 4_000, seed: int = 6) -> list[tuple[str, str, s
 def train(labelled: DataFrame | None = None) -> Forest:
     """A forest from labelled findings (value, before, after, path, label): at most MAX_LABELLED rows, by hash order."""
     if labelled is None:
-        rows = made_findings() + made_without_digits()
-    else:
-        bounded = labelled.orderBy(F.xxhash64("value", "before", "after", "path", "label")).limit(MAX_LABELLED)
-        rows = [(r["value"] or "", r["before"] or "", r["after"] or "", r["path"] or "", int(r["label"])) for r in bounded.collect()]
+        return _default()
+    bounded = labelled.orderBy(F.xxhash64("value", "before", "after", "path", "label")).limit(MAX_LABELLED)
+    rows = [(r["value"] or "", r["before"] or "", r["after"] or "", r["path"] or "", int(r["label"])) for r in bounded.collect()]
     if not rows:
         raise ValueError("no labelled findings")
+    return _fitted(rows)
+
+
+@functools.cache
+def _default() -> Forest:
+    return _fitted(made_findings() + made_without_digits())
+
+
+def _fitted(rows: list[tuple[str, str, str, str, int]]) -> Forest:
     return Forest(np.array([features(*r[:4]) for r in rows]), np.array([r[4] for r in rows], float))
 
 
@@ -182,6 +191,10 @@ def judged(text: str, path: str, forest: Forest) -> list[tuple[int, int, str, fl
     return [(a, b, kind, 1.0 if kind in ("private_key", "web_token") else float(s)) for (a, b, kind), s in zip(found, scores, strict=True)]
 
 
+def _path(docs: DataFrame, path: str) -> Column:
+    return F.col(path).cast("string") if path in docs.columns else F.lit("")
+
+
 FINDINGS = "doc_id long, start_char long, end_char long, kind string, score double, is_secret boolean"
 
 
@@ -195,7 +208,7 @@ def scan(docs: DataFrame, forest: Forest | None = None, path: str = "source", th
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.float64(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True) if out else [[]] * 6, kinds, strict=True)], names=[x.split()[0] for x in FINDINGS.split(", ")])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col(path).cast("string")).mapInArrow(find, FINDINGS)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), _path(docs, path)).mapInArrow(find, FINDINGS)
 
 
 def redact(docs: DataFrame, forest: Forest | None = None, path: str = "source", threshold: float = THRESHOLD, mark: str = "[SECRET]") -> DataFrame:
@@ -214,4 +227,4 @@ def redact(docs: DataFrame, forest: Forest | None = None, path: str = "source",
 
         return texts.combine(places, one)
 
-    return docs.withColumn("text", clean(F.col("text").cast("string"), F.col(path).cast("string")))
+    return docs.withColumn("text", clean(F.col("text").cast("string"), _path(docs, path)))
