@@ -557,7 +557,7 @@ def representatives(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
     worded = rows.where(F.col("label").isNotNull())
     best = worded.groupBy("label").agg(F.min("row_key").alias("row_key")).join(worded, ["label", "row_key"])
     kept = materialize(best.select(F.col("row_key").alias("kept_key"), "copies").unionByName(rows.where(F.col("label").isNull()).select(F.col("row_key").alias("kept_key"), F.lit(1).cast("long").alias("copies"))), "kept")
-    of = lambda keys: docs.join(keys.select("kept_key"), row_key() == F.col("kept_key"), "left_semi")
+    of = lambda keys: docs.join(keys.select("kept_key").hint("shuffle_hash"), row_key() == F.col("kept_key"), "left_semi")
     if kept.where("copies > 1").head() is None:
         return of(kept)
     again = of(kept.where("copies > 1")).withColumn("kept_key", row_key()).dropDuplicates(["kept_key"]).drop("kept_key")
