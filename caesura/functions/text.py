@@ -22,6 +22,11 @@ KINDS = {"기도": "prayer", "논문": "thesis", "공지": "notice"}
 LONG = 450
 
 
+def let(value: Column, then) -> Column:
+    """then(value), with value computed once: an expression that is used twice is otherwise computed twice, in lambdas for every element."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def normalize_ws(text: Column) -> Column:
     """Runs of white space (Unicode's and U+001C-U+001F) as one space, none at the ends."""
     return F.trim(F.regexp_replace(text, WS, " "))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from caesura.functions.text import let
+
 
 def _ratio(a: Column, b: Column) -> Column:
     return F.when(b == 0, 0.0).otherwise(a / b)
@@ -27,12 +29,17 @@ def matched(gold: Column, predicted: Column, tolerance: int = 0) -> Column:
 
 def boundary_f1(gold: Column, predicted: Column, tolerance: int = 0) -> Column:
     """struct of tp, fp, fn, precision, recall, f1; both empty is perfect."""
-    tp = matched(gold, predicted, tolerance)
-    n_gold, n_pred = F.size(F.array_distinct(gold)), F.size(F.array_distinct(predicted))
-    empty = (n_gold == 0) & (n_pred == 0)
-    precision = F.when(empty, 1.0).otherwise(_ratio(tp, n_pred))
-    recall = F.when(empty, 1.0).otherwise(_ratio(tp, n_gold))
-    return F.struct(tp.alias("tp"), (n_pred - tp).alias("fp"), (n_gold - tp).alias("fn"), precision.alias("precision"), recall.alias("recall"), _ratio(2 * precision * recall, precision + recall).alias("f1"))
+
+    def rates(x: Column) -> Column:
+        empty = (x["g"] == 0) & (x["p"] == 0)
+        precision = F.when(empty, 1.0).otherwise(_ratio(x["tp"], x["p"]))
+        recall = F.when(empty, 1.0).otherwise(_ratio(x["tp"], x["g"]))
+        f1 = F.when(empty, 1.0).otherwise(_ratio(2 * x["tp"], x["g"] + x["p"]))
+        return F.struct(x["tp"].alias("tp"), (x["p"] - x["tp"]).alias("fp"), (x["g"] - x["tp"]).alias("fn"), precision.alias("precision"), recall.alias("recall"), f1.alias("f1"))
+
+    sets = F.struct(F.array_distinct(gold).alias("g"), F.array_distinct(predicted).alias("p"))
+    counts = lambda s: F.struct(matched(s["g"], s["p"], tolerance).alias("tp"), F.size(s["g"]).alias("g"), F.size(s["p"]).alias("p"))
+    return let(sets, lambda s: let(counts(s), rates))
 
 
 def window_size(n: Column, gold: Column) -> Column:
@@ -42,10 +49,21 @@ def window_size(n: Column, gold: Column) -> Column:
 
 
 def _disagreement(n: Column, gold: Column, predicted: Column, differ) -> Column:
-    k = window_size(n, gold)
-    inside = lambda all_, i: F.size(F.filter(F.array_distinct(all_), lambda b: (b >= i) & (b < i + k)))
-    starts = F.sequence(F.lit(1), n - k)
-    return F.when((n <= 1) | (n - k < 1), 0.0).otherwise(F.size(F.filter(starts, lambda i: differ(inside(gold, i), inside(predicted, i)))) / (n - k))
+    """The share of windows of k places in which gold and predicted differ. Numbers of boundaries before each place are counted once."""
+
+    def before(places: Column) -> Column:
+        """Element i is how many places are below i + 1."""
+        marks = F.transform(F.sequence(F.lit(1), n), lambda i: F.array_contains(places, i).cast("int"))
+        sums = F.aggregate(marks, F.array(F.lit(0)), lambda s, m: F.concat(s, F.array(F.element_at(s, -1) + m)))
+        return sums
+
+    def share(x: Column) -> Column:
+        inside = lambda c, i: F.get(x[c], i + x["k"] - 1) - F.get(x[c], i - 1)
+        return F.size(F.filter(F.sequence(F.lit(1), n - x["k"]), lambda i: differ(inside("g", i), inside("p", i)))) / (n - x["k"])
+
+    some = lambda c: F.coalesce(c, F.array().cast("array<int>"))
+    both = F.struct(window_size(n, gold).alias("k"), before(some(gold)).alias("g"), before(some(predicted)).alias("p"))
+    return F.when(n <= 1, 0.0).otherwise(let(both, lambda x: F.when(n - x["k"] < 1, 0.0).otherwise(share(x))))
 
 
 def pk(n: Column, gold: Column, predicted: Column) -> Column:

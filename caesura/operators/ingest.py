@@ -6,7 +6,7 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caesura.functions.text import BOUNDARY_TYPES
@@ -148,3 +148,30 @@ def route(results: DataFrame, windows: DataFrame, threshold: float = 0.75) -> Da
     routed = joined.select("custom_id", "line_number", "line", "nth", "sources", "wanted").mapInPandas(judge, ROUTED)
     missing = windows.join(named.select("custom_id"), "custom_id", "left_anti").select("custom_id", F.lit(None).cast("long").alias("line_number"), F.lit("failure").alias("route"), F.array().cast("array<string>").alias("codes"), F.lit(False).alias("needs_review"), F.lit("MissingBatchResult").alias("exception_type"), F.lit(None).cast("string").alias("annotation"))
     return routed.unionByName(missing)
+
+
+def read_results(spark: SparkSession, path: str) -> DataFrame:
+    """line_number (from 1) and line of a file of JSON lines, however large: lines are numbered within the pieces it is read in, whose counts are put before."""
+    lines = spark.read.text(path).select(F.input_file_block_start().alias("start"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+    part = Window.partitionBy("start").orderBy("at")
+    numbered = lines.withColumn("nth", F.row_number().over(part))
+    counts = lines.groupBy("start").agg(F.count("*").alias("n"))
+    before = counts.select("start", (F.coalesce(F.sum("n").over(Window.orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).alias("before"))  # a row a piece
+    return numbered.join(before, "start").where(F.trim("line") != "").select((F.col("before") + F.col("nth")).alias("line_number"), "line")
+
+
+def counters(routed: DataFrame) -> DataFrame:
+    """ok_count, issue_count (of issues, not of rows), failure_count, review_count."""
+    return routed.agg(F.count_if(F.col("route") == "ok").alias("ok_count"), F.coalesce(F.sum(F.size("codes").cast("long")), F.lit(0)).alias("issue_count"), F.count_if(F.col("route") == "failure").alias("failure_count"), F.count_if("needs_review").alias("review_count"))
+
+
+def write_routes(routed: DataFrame, out: str) -> dict:
+    """<out>/annotations, /issues, /failures and /review as JSON lines; returns the counters."""
+    parts = {"annotations": F.col("route") == "ok", "issues": F.col("route") == "issues", "failures": F.col("route") == "failure", "review": F.col("needs_review")}
+    routed = routed.persist()
+    try:
+        for name, which in parts.items():
+            routed.where(which).orderBy("line_number", "custom_id").write.option("ignoreNullFields", "false").json(f"{out}/{name}")
+        return counters(routed).head().asDict()
+    finally:
+        routed.unpersist()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,9 +22,35 @@ INSTRUCTIONS = [
     "Do not annotate a boundary when the next source sentence is not visible.",
 ]
 MODEL, MAX_OUTPUT_TOKENS = "gpt-5.5", 8192
+SCHEMA_NAME = "sermon_teacher_boundary_annotation"
 # End of fixed values.
 
 
+def _object(**properties: dict) -> dict:
+    """A JSON schema of an object with just these properties, all required."""
+    return {"type": "object", "additionalProperties": False, "properties": properties, "required": list(properties)}
+
+
+def _list(items: dict) -> dict:
+    return {"type": "array", "items": items}
+
+
+_STRING, _LABEL, _SHARE = {"type": "string"}, {"type": "string", "enum": BOUNDARY_TYPES}, {"type": "number", "minimum": 0, "maximum": 1}
+
+
+def response_schema() -> dict:
+    """What an answer to a window's request must be."""
+    item = _object(local_sid=_STRING, source_sentence_id=_STRING, split_after={"type": "boolean"}, boundary_type=_LABEL, confidence=_SHARE, rationale=_STRING)
+    return _object(custom_id=_STRING, boundary_annotations=_list(item), quality_flags=_list(_STRING))
+
+
+def document_response_schema() -> dict:
+    """What an answer to a document's request must be."""
+    item = _object(sentence_id=_STRING, text_excerpt=_STRING, split_after={"type": "boolean"}, boundary_type=_LABEL, confidence=_SHARE, rationale=_STRING)
+    paragraph = _object(paragraph_id=_STRING, sentence_ids=_list(_STRING), paragraph_role=_STRING, reason=_STRING)
+    return _object(document_id=_STRING, source_type=_STRING, reasoning_effort=_STRING, preprocessing_observations=_list(_STRING), boundary_annotations=_list(item), proposed_atomic_paragraphs=_list(paragraph), quality_flags=_list(_STRING))
+
+
 def _named(**columns: Column) -> Column:
     return F.named_struct(*[x for k, v in columns.items() for x in (F.lit(k), v)])
 
@@ -38,7 +66,9 @@ def requests(windows: DataFrame, model: str = MODEL, max_output_tokens: int = MA
     user = task(F.col("custom_id"), F.col("document_id"), F.col("visible"), F.col("targets"))
     message = lambda role, text: _named(role=F.lit(role), content=text)
     body = _named(model=F.lit(model), input=F.array(message("system", F.lit(SYSTEM_PROMPT)), message("user", user)), max_output_tokens=F.lit(max_output_tokens))
-    return windows.select("custom_id", F.lit("POST").alias("method"), F.lit("/v1/responses").alias("url"), F.to_json(body).alias("body"))
+    wanted = {"format": {"type": "json_schema", "name": SCHEMA_NAME, "schema": response_schema(), "strict": True}}
+    whole = F.concat(F.expr("left(json, length(json) - 1)"), F.lit(f', "text": {json.dumps(wanted, ensure_ascii=False)}}}'))  # a constant part, put before the last brace
+    return windows.withColumn("json", F.to_json(body)).select("custom_id", F.lit("POST").alias("method"), F.lit("/v1/responses").alias("url"), whole.alias("body"))
 
 
 def write_jsonl(rows: DataFrame, path: str) -> None:

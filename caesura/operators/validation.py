@@ -32,11 +32,12 @@ def document_issues(sentence_ids: Column, items: Column) -> Column:
 
 def training_rows(sentences: DataFrame, items: DataFrame, threshold: float = 0.75) -> DataFrame:
     """sentences: document_id, sentence_index, sentence_id, block_id, paragraph_index. items: document_id, position, sentence_id,
-    split_after, boundary_type, confidence, has_flags. Of several items of a sentence the last counts."""
+    split_after, boundary_type, confidence, has_flags. Of several items of a sentence the last counts; a sentence without any is an error."""
     last = items.groupBy("document_id", "sentence_id").agg(F.max_by(F.struct("split_after", "boundary_type", "confidence", "has_flags"), "position").alias("item"))
     order = Window.partitionBy("document_id").orderBy("sentence_index")
     paired = sentences.withColumn("right", F.lead(F.struct("sentence_id", "block_id", "paragraph_index")).over(order))
-    joined = paired.join(last, ["document_id", "sentence_id"])
+    joined = paired.join(last, ["document_id", "sentence_id"], "left")
+    joined = joined.withColumn("item", F.coalesce("item", F.raise_error(F.concat(F.lit("no annotation for "), F.col("sentence_id")))))
     same = F.coalesce((F.col("paragraph_index") == F.col("right.paragraph_index")) & (F.col("block_id") == F.col("right.block_id")), F.lit(False))
     return joined.select(
         "document_id", F.col("sentence_id").alias("left_sentence_id"), F.col("right.sentence_id").alias("right_sentence_id"), F.col("item.split_after").alias("split_after_left"), F.col("item.boundary_type").alias("boundary_type"), F.col("item.confidence").alias("teacher_confidence"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caesura.functions.text import boundary_label, normalize_ws, split_sentences
+from caesura.functions.text import boundary_label, let, normalize_ws, split_sentences
 
 
 def sentence_array(text: Column) -> Column:
@@ -66,9 +66,8 @@ def anchored_text(visible: Column) -> Column:
 def rule_annotations(targets: Column) -> Column:
     """An annotation item for every candidate, by rules: confidence 0.35 for a split, else 0.6."""
 
-    def one(s: Column) -> Column:
-        label = boundary_label(s["text"])
+    def item(s: Column, label: Column) -> Column:
         split = label != "none"
         return F.struct(s["local_sid"].alias("local_sid"), s["source_sentence_id"].alias("source_sentence_id"), split.alias("split_after"), label.alias("boundary_type"), F.when(split, 0.35).otherwise(0.6).alias("confidence"))
 
-    return F.transform(targets, one)
+    return F.transform(targets, lambda s: let(boundary_label(s["text"]), lambda label: item(s, label)))

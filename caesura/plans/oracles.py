@@ -81,7 +81,7 @@ SCRIPT = {"hangul": r"\x{ac00}-\x{d7af}\x{1100}-\x{11ff}\x{3130}-\x{318f}", "han
 CUE = {"cue:starts_je": "starts_with(text, '제')", "cue:starts_chapter": "starts_with(lower(text), 'chapter ')", **{f"cue:contains:{c}": f"contains(text, '{c}')" for c in ("기도", "아멘", "다음과 같이 표현합니다", "말씀", "본문")}}
 VALUE = {"bias": "1", "len_bucket:10": "CASE WHEN len(text) // 20 >= 10 THEN 1 ELSE 0 END", "char:(": "least(4, len(substr(text, 1, 96)) - len(replace(substr(text, 1, 96), '(', '')))", "bigram:en": "least(3, len(list_filter(range(1, least(len(substr(text, 1, 96)) - 1, 48) + 1), lambda i: substr(text, i, 2) = 'en')))", **{k: f"CASE WHEN {v} THEN 1 ELSE 0 END" for k, v in CUE.items()}}
 SCORE = {label: " + ".join(f"{w} * ({VALUE[f]})" for l, f, w in WEIGHTS if l == label) or "0" for label in BOUNDARY_TYPES}
-FAULT = "CASE w % 6 WHEN 1 THEN sparse || chr(10) || 'S2 none' || chr(10) || 'bad' || chr(10) || 'SX topic_shift' || chr(10) || 'S999 topic_shift' WHEN 2 THEN 'S3 topic_shift' || chr(10) || 'S2 topic_shift' || chr(10) || 'S2 topic_shift' || chr(10) || sparse WHEN 3 THEN '  ' ELSE sparse END"
+FAULT = "CASE w % 6 WHEN 1 THEN sparse || chr(10) || 'S2 none' || chr(10) || 'bad' || chr(10) || 'SX topic_shift' || chr(10) || 'S999 topic_shift' WHEN 2 THEN 'S3 topic_shift' || chr(10) || chr(10) || 'S2 topic_shift' || chr(10) || '  ' || chr(10) || 'S2 topic_shift' || chr(10) || sparse WHEN 3 THEN '  ' ELSE sparse END"
 
 ORACLES = {
     "normalize_text": f"SELECT doc_id, len({_norm('text')})::BIGINT AS n, md5({_norm('text')}) AS digest FROM documents",
@@ -103,8 +103,8 @@ SELECT reason, reason IN ('hangul_present', 'scripture_reference_or_short_contex
     "training_summary": f"WITH {EXAMPLE}, e AS (SELECT *, {_split('document_id')} AS split FROM example) SELECT g.split, count(e.custom_id) AS n, count(*) FILTER (WHERE e.sparse = 'NO_BOUNDARY') AS n_none, coalesce(sum(e.n_lines), 0)::BIGINT AS n_lines, round(coalesce(avg(len(e.input)), 0), 6)::DOUBLE AS mean_input, round(coalesce(avg(len(e.sparse)), 0), 6)::DOUBLE AS mean_output FROM (VALUES ('train'), ('validation'), ('test')) g(split) LEFT JOIN e USING (split) GROUP BY 1",
     "extracted_sentences": f"WITH {W} SELECT custom_id, sid AS local_sid, text FROM shown WHERE candidate",
     "parse_issues": f"""WITH {EXAMPLE}, o AS (SELECT custom_id AS example_id, {FAULT} AS output, sids FROM example),
-l AS (SELECT example_id, sids, unnest(string_split(output, chr(10))) AS line, generate_subscripts(string_split(output, chr(10)), 1) AS k FROM o WHERE output <> 'NO_BOUNDARY'),
-t AS (SELECT *, CASE WHEN len(list_filter(string_split(line, ' '), lambda x: x <> '')) = 2 THEN string_split(line, ' ')[1] END AS token, CASE WHEN len(list_filter(string_split(line, ' '), lambda x: x <> '')) = 2 THEN string_split(line, ' ')[2] END AS label FROM l),
+l AS (SELECT example_id, sids, unnest(string_split(output, chr(10))) AS line, generate_subscripts(string_split(output, chr(10)), 1) AS k, trim(output) = '' AS blank FROM o WHERE output <> 'NO_BOUNDARY'),
+t AS (SELECT *, CASE WHEN len(list_filter(string_split(line, ' '), lambda x: x <> '')) = 2 THEN string_split(line, ' ')[1] END AS token, CASE WHEN len(list_filter(string_split(line, ' '), lambda x: x <> '')) = 2 THEN string_split(line, ' ')[2] END AS label FROM l WHERE blank OR trim(line) <> ''),
 n AS (SELECT *, try_cast(regexp_extract(token, '^S([0-9]+)$', 1) AS BIGINT) AS num FROM t),
 b AS (SELECT *, last_value(num IGNORE NULLS) OVER (PARTITION BY example_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before, row_number() OVER (PARTITION BY example_id, token ORDER BY k) AS nth FROM n),
 f AS (SELECT example_id, (token IS NULL OR num IS NULL) AS a, coalesce(NOT list_contains(sids, token), false) AS u, coalesce(label NOT IN ({LABELS}), false) AS c, token IS NOT NULL AND nth > 1 AS d, coalesce(num <= before, false) AS e FROM b)
@@ -123,8 +123,33 @@ SELECT custom_id, round(count(*) FILTER (WHERE (g = 0) <> (p = 0)) / count(*), 6
 m AS (SELECT *, greatest({', '.join(f's{i}' for i in range(8))}) AS top FROM s),
 p AS (SELECT CASE {' '.join(f"WHEN s{i} = top THEN '{x}'" for i, x in enumerate(BOUNDARY_TYPES))} END AS predicted, round(1 / ({' + '.join(f'exp(s{i} - top)' for i in range(8))}), 6) AS probability FROM m)
 SELECT predicted, count(*) AS n, round(sum(probability), 4)::DOUBLE AS mass FROM p GROUP BY 1""",
-    "feature_sums": f"""WITH {W}, c AS (SELECT num, text FROM shown WHERE candidate), f AS (SELECT 'bias' AS feature FROM c UNION ALL SELECT 'sid_bucket:' || least(num, 20) FROM c UNION ALL SELECT 'len_bucket:' || least(len(text) // 20, 10) FROM c UNION ALL SELECT 'sid:first' FROM c WHERE num = 1 {' '.join(f"UNION ALL SELECT '{k}' FROM c WHERE {v}" for k, v in CUE.items())})
-SELECT feature, count(*) AS n, count(*)::DOUBLE AS total FROM f GROUP BY 1""",
+    "feature_sums": f"""WITH {W}, c AS (SELECT custom_id, num, text FROM shown WHERE candidate), f AS (SELECT 'bias' AS feature FROM c UNION ALL SELECT 'sid_bucket:' || least(num, 20) FROM c UNION ALL SELECT 'len_bucket:' || least(len(text) // 20, 10) FROM c UNION ALL SELECT 'sid:first' FROM c WHERE num = 1 {' '.join(f"UNION ALL SELECT '{k}' FROM c WHERE {v}" for k, v in CUE.items())}),
+h AS (SELECT custom_id, num, unnest(string_split(substr(text, 1, 96), '')) AS x FROM c),
+p AS (SELECT custom_id, num, unnest(list_transform(range(1, least(len(substr(text, 1, 96)) - 1, 48) + 1), lambda i: substr(text, i, 2))) AS x FROM c),
+g AS (SELECT 'char:' || x AS feature, least(count(*), 4) AS v FROM h WHERE x NOT IN ('', ' ') GROUP BY custom_id, num, x UNION ALL SELECT 'bigram:' || x, least(count(*), 3) FROM p WHERE trim(x) <> '' GROUP BY custom_id, num, x UNION ALL SELECT feature, 1 FROM f)
+SELECT feature, count(*) AS n, sum(v)::DOUBLE AS total FROM g GROUP BY 1""",
+    "browse_sort": f"WITH {EXAMPLE} SELECT 'sparse:' || custom_id AS example_id, n_lines::BIGINT AS n FROM example ORDER BY n_lines DESC, 'sparse:' || custom_id LIMIT 40",
+    "label_histogram": f"WITH {EXAMPLE}, l AS (SELECT label FROM shown WHERE candidate AND label <> 'none' UNION ALL SELECT 'NO_BOUNDARY' FROM example WHERE n_lines = 0) SELECT g.label, count(l.label) AS n FROM (SELECT unnest([{LABELS}, 'NO_BOUNDARY']) AS label) g LEFT JOIN l USING (label) GROUP BY 1",
+    "sft_split_counts": f"WITH {EXAMPLE}, e AS (SELECT {_split('document_id')} AS split FROM example) SELECT f.target_type, g.split, count(e.split) AS n FROM (VALUES ('sparse_multi_boundary'), ('first_boundary')) f(target_type) CROSS JOIN (VALUES ('train'), ('validation'), ('test')) g(split) LEFT JOIN e ON e.split = g.split GROUP BY 1, 2",
+    "sft_examples": f"WITH {EXAMPLE}, e AS (SELECT *, {_split('document_id')} AS split FROM example) SELECT 'sparse:' || custom_id AS example_id, 'sparse_multi_boundary' AS target_type, split, md5(input) AS input_md5, sparse AS output FROM e UNION ALL SELECT 'first:' || custom_id, 'first_boundary', split, md5(input), first FROM e",
+    "example_mapping": f"WITH {W}, m AS (SELECT custom_id, count(*) AS n FROM shown GROUP BY 1) SELECT 'sparse:' || custom_id AS example_id, custom_id, n AS n_sources FROM m UNION ALL SELECT 'first:' || custom_id, custom_id, n FROM m",
+    "training_scores": f"""WITH RECURSIVE {GOLD},
+fold AS (SELECT custom_id, 1 AS k, gs AS rest, 0 AS tp FROM duo UNION ALL SELECT f.custom_id, k + 1, CASE WHEN c IS NULL THEN rest ELSE list_filter(rest, lambda x: x <> c) END, tp + (c IS NOT NULL)::INT FROM (SELECT f.*, CASE WHEN list_contains(rest, ps[k]) THEN ps[k] WHEN list_contains(rest, ps[k] - 1) THEN ps[k] - 1 WHEN list_contains(rest, ps[k] + 1) THEN ps[k] + 1 END AS c, ps FROM fold f JOIN (SELECT custom_id, list_filter(ps, lambda x: x <= n) AS ps FROM duo) USING (custom_id)) f WHERE k <= len(ps)),
+near AS (SELECT custom_id, max(tp) AS near_tp FROM fold GROUP BY 1),
+d AS (SELECT custom_id, n, gs, list_filter(ps, lambda x: x <= n) AS ps FROM duo),
+x AS (SELECT sum(len(gs)) AS g, sum(len(ps)) AS p, sum(len(list_intersect(gs, ps))) AS tp, sum(near_tp) AS ntp, count(*) AS m FROM d JOIN near USING (custom_id)),
+i AS (SELECT gs, ps, unnest(range(1, n + 1)) AS i FROM d),
+y AS (SELECT count(*) AS n, avg(ln(1 + i % 7)) AS loss, avg((list_contains(gs, i) = list_contains(ps, i))::INT) AS accuracy FROM i)
+SELECT y.n AS candidate_count, m AS example_count, round(loss, 6) AS loss, round(accuracy, 6) AS accuracy, round(tp / p, 6) AS "precision", round(tp / g, 6) AS recall, round(2 * tp / (p + g), 6) AS f1, round(2 * ntp / (p + g), 6) AS tolerance1_f1 FROM x, y""",
+    "doc_validation": f"""WITH {SENTENCES},
+i AS (SELECT document_id, p, CASE WHEN p % 23 = 5 THEN 'nowhere' ELSE sentence_id END AS sid, p % 3 = 0 AS split, CASE WHEN p % 19 = 1 THEN 'odd' WHEN p % 4 = 0 THEN 'topic_shift' ELSE 'none' END AS label FROM sentence WHERE p % 29 <> 7),
+lost AS (SELECT document_id FROM sentence s WHERE p % 29 = 7 OR p % 23 = 5),
+odd AS (SELECT DISTINCT document_id FROM i WHERE sid = 'nowhere'),
+r AS (SELECT 'coverage_mismatch' AS code, document_id FROM (SELECT document_id FROM lost UNION SELECT document_id FROM odd) UNION ALL SELECT 'missing_sentence_annotation', document_id FROM lost UNION ALL SELECT 'unknown_sentence_id', document_id FROM odd
+  UNION ALL SELECT 'unknown_boundary_type', document_id FROM i WHERE label = 'odd' UNION ALL SELECT 'split_false_boundary_type_not_none', document_id FROM i WHERE NOT split AND label <> 'none' UNION ALL SELECT 'split_true_boundary_type_none', document_id FROM i WHERE split AND label = 'none')
+SELECT code, count(*) AS n, count(DISTINCT document_id) AS n_documents FROM r GROUP BY 1""",
+    "annotation_summary": f"WITH {W} SELECT label AS boundary_type, count(*) AS n, count(*) FILTER (WHERE label <> 'none') AS n_split FROM shown WHERE candidate GROUP BY 1",
+    "label_requests": f"WITH {W} SELECT custom_id, 'POST' AS method, '/v1/responses' AS url, document_id, md5(string_agg('<' || sid || '> ' || text, chr(10) ORDER BY num)) AS anchored_md5, string_agg(CASE WHEN candidate THEN sid END, ',' ORDER BY num) AS target_sids, 'quality_flags' AS third_key, 8192::BIGINT AS max_output_tokens FROM shown GROUP BY custom_id, document_id",
     "browse": f"WITH {EXAMPLE} SELECT custom_id, n_lines::BIGINT AS n_lines FROM example WHERE contains(lower(input), 'chapter 9') AND contains(sparse, 'topic_shift')",
     "gold_vs_predicted": f"WITH {GOLD} SELECT CASE WHEN gold.g IS NULL THEN 'FP' WHEN pred.g IS NULL THEN 'FN' ELSE 'match' END AS status, count(*) AS n FROM gold FULL JOIN pred ON gold.custom_id = pred.custom_id AND gold.g = pred.g GROUP BY 1",
     "routed_results": f"""WITH {W}, c AS (SELECT custom_id, w % 8 AS k, sid, num, label, row_number() OVER (PARTITION BY custom_id ORDER BY num) AS nth FROM shown WHERE candidate),

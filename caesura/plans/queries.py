@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caesura.functions import text as T
-from caesura.operators import evaluation, ingest, training, windows
+from caesura.operators import browse as browsing
+from caesura.operators import evaluation, ingest, payload, student, training, validation, windows
 from caesura.sources import markup
 
 # Literals laid over sentences, by index mod 17.
@@ -130,7 +131,7 @@ def parse_issues(spark, sf_dir):
     out = training.sparse_output(F.col("items"))
     broken = (
         F.when(F.col("k") == 1, F.concat(out, F.lit("\nS2 none\nbad\nSX topic_shift\nS999 topic_shift")))
-        .when(F.col("k") == 2, F.concat(F.lit("S3 topic_shift\nS2 topic_shift\nS2 topic_shift\n"), out))
+        .when(F.col("k") == 2, F.concat(F.lit("S3 topic_shift\n\nS2 topic_shift\n  \nS2 topic_shift\n"), out))
         .when(F.col("k") == 3, F.lit("  "))
         .otherwise(out)
     )
@@ -150,13 +151,13 @@ def segmentation_scores(spark, sf_dir):
 
 
 def training_rows(spark, sf_dir):
-    from pyspark.sql import Window
-
-    rows = windows.explode_sentences(_sentences(spark, sf_dir))
-    label = T.boundary_label(F.col("text"))
-    confidence = F.when(F.col("sentence_index") % 4 == 0, 0.72).otherwise(0.93)
-    right = F.lead("sentence_id").over(Window.partitionBy("document_id").orderBy("sentence_index"))
-    return rows.select(F.col("sentence_id").alias("left_sentence_id"), right.alias("right_sentence_id"), (label != "none").alias("split_after_left"), label.alias("boundary_type"), F.when(confidence < 0.75, "needs_review").otherwise("teacher_only").alias("review_status"))
+    """The sentences are one array, so the next one's id needs no shuffle."""
+    n = F.size("sentences")
+    rows = _sentences(spark, sf_dir).select("document_id", n.alias("n"), F.posexplode("sentences").alias("i", "text"))
+    rows = rows.withColumn("label", T.boundary_label(F.col("text")))
+    name = lambda i: F.format_string("%s.s%04d", "document_id", i)
+    review = F.when(F.col("i") % 4 == 0, 0.72).otherwise(0.93) < 0.75
+    return rows.select(name(F.col("i")).alias("left_sentence_id"), F.when(F.col("i") + 1 < F.col("n"), name(F.col("i") + 1)).alias("right_sentence_id"), (F.col("label") != "none").alias("split_after_left"), F.col("label").alias("boundary_type"), F.when(review, "needs_review").otherwise("teacher_only").alias("review_status"))
 
 
 def label_scores(spark, sf_dir):
@@ -170,14 +171,86 @@ def label_scores(spark, sf_dir):
 
 def feature_sums(spark, sf_dir):
     rows = _windows(spark, sf_dir).select(F.explode("targets").alias("s"))
-    found = rows.select(F.explode(training.feature_map(F.col("s.text"), F.substring("s.local_sid", 2, 9).cast("int"))).alias("feature", "value")).where(~F.col("feature").startswith("char:") & ~F.col("feature").startswith("bigram:"))
+    found = rows.select(F.explode(training.feature_map(F.col("s.text"), F.substring("s.local_sid", 2, 9).cast("int"))).alias("feature", "value"))
     return found.groupBy("feature").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
 
 
+def _examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _annotated(spark, sf_dir)
+    return rows.select(F.concat(F.lit("sparse:"), "custom_id").alias("example_id"), "document_id", training.student_input(F.col("targets")).alias("input"), training.sparse_output(F.col("items")).alias("output"))
+
+
 def browse(spark, sf_dir):
-    rows = _annotated(spark, sf_dir).select("custom_id", training.student_input(F.col("targets")).alias("input"), training.sparse_output(F.col("items")).alias("output"))
-    hay = F.lower(F.concat_ws("\n", "custom_id", "input", "output"))
-    return rows.where(hay.contains("chapter 9") & (F.col("output") != "NO_BOUNDARY") & F.col("output").contains("topic_shift")).select("custom_id", training.boundary_line_count(F.col("output")).cast("long").alias("n_lines"))
+    rows = browsing.filter_examples(_examples(spark, sf_dir), " Chapter 9", "boundary_only", "topic_shift")
+    return rows.select(F.expr("substring(example_id, 8)").alias("custom_id"), training.boundary_line_count(F.col("output")).cast("long").alias("n_lines"))
+
+
+def browse_sort(spark, sf_dir):
+    """The first examples by number of boundaries: the order is the feature."""
+    rows = browsing.sort_examples(_examples(spark, sf_dir), "boundary_count").limit(40)
+    return rows.select("example_id", F.size(browsing.boundary_labels(F.col("output"))).cast("long").alias("n"))
+
+
+def label_histogram(spark, sf_dir):
+    return browsing.label_histogram(_examples(spark, sf_dir))
+
+
+def _mapped(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Annotations as JSON, and windows, as the build of training sets takes them."""
+    rows = _annotated(spark, sf_dir)
+    named = lambda **c: F.named_struct(*[x for k, v in c.items() for x in (F.lit(k), v)])
+    items = F.transform("items", lambda i: named(local_sid=i["local_sid"], source_sentence_id=i["source_sentence_id"], split_after=i["split_after"], boundary_type=i["boundary_type"], confidence=i["confidence"], rationale=F.lit("rule")))
+    note = F.to_json(named(custom_id=F.col("custom_id"), boundary_annotations=items, quality_flags=F.array().cast("array<string>")))
+    sources = F.map_from_entries(F.transform("visible", lambda s: F.struct(s["local_sid"], F.struct(s["source_sentence_id"].alias("source_sentence_id"), s["text"].alias("text")))))
+    return rows.select("custom_id", note.alias("annotation")), rows.select("custom_id", "document_id", F.lit("documents").alias("source_path"), F.col("targets.local_sid").alias("target_local_sids"), sources.alias("local_to_source"))
+
+
+def sft_split_counts(spark, sf_dir):
+    return student.split_counts(student.examples(student.checked(*_mapped(spark, sf_dir))))
+
+
+def sft_examples(spark, sf_dir):
+    made = student.examples(student.checked(*_mapped(spark, sf_dir)))
+    return made.select("example_id", "target_type", "split", F.md5("input").alias("input_md5"), "output")
+
+
+def example_mapping(spark, sf_dir):
+    rows = student.checked(*_mapped(spark, sf_dir))
+    joined = browsing.with_mappings(student.examples(rows), student.mappings(rows))
+    return joined.select("example_id", F.col("mapping.custom_id").alias("custom_id"), F.size("mapping.local_to_source").cast("long").alias("n_sources"))
+
+
+def training_scores(spark, sf_dir):
+    """The evaluation of predictions made from gold, with made probabilities."""
+    rows = _gold_and_predicted(spark, sf_dir).withColumn("i", F.explode(F.sequence(F.lit(1), F.col("n"))))
+    label = lambda c: F.when(F.array_contains(c, F.col("i")), "topic_shift").otherwise("none")
+    scored = rows.select(F.col("custom_id").alias("example_id"), F.col("i").alias("number"), label("gold").alias("gold"), label("predicted").alias("predicted"), (1 / (1 + F.col("i") % 7)).alias("p_gold"))
+    out = student.evaluate(scored)
+    return out.select(*[F.round(c, 6).alias(c) if k == "double" else F.col(c) for c, k in out.dtypes])
+
+
+def doc_validation(spark, sf_dir):
+    """Rule breaks of document annotations from which some items were taken, moved or changed by number."""
+    rows = _sentences(spark, sf_dir)
+    ids = F.transform("sentences", lambda s, i: F.format_string("%s.s%04d", F.col("document_id"), i))
+    items = F.transform("sentences", lambda s, i: F.struct(F.when(i % 23 == 5, "nowhere").otherwise(F.format_string("%s.s%04d", F.col("document_id"), i)).alias("sentence_id"), (i % 3 == 0).alias("split_after"), F.when(i % 19 == 1, "odd").when(i % 4 == 0, "topic_shift").otherwise("none").alias("boundary_type"), i.alias("i")))
+    items = F.filter(items, lambda x: x["i"] % 29 != 7)
+    found = rows.select("document_id", F.explode(validation.document_issues(ids, items)).alias("issue"))
+    return found.groupBy("issue.code").agg(F.count("*").alias("n"), F.countDistinct("document_id").alias("n_documents"))
+
+
+def annotation_summary(spark, sf_dir):
+    return validation.summarize(_annotated(spark, sf_dir).select(F.explode("items").alias("i")).select("i.*"))
+
+
+def label_requests(spark, sf_dir):
+    rows = payload.requests(_windows(spark, sf_dir))
+    task = F.get_json_object("body", "$.input[1].content")
+    field = lambda path: F.get_json_object(task, path)
+    return rows.select(
+        "custom_id", "method", "url", field("$.document_id").alias("document_id"), F.md5(F.array_join(F.from_json(field("$.anchored_text"), "array<string>"), "\n")).alias("anchored_md5"), F.array_join(F.from_json(field("$.target_local_sids"), "array<string>"), ",").alias("target_sids"),
+        F.get_json_object("body", "$.text.format.schema.required[2]").alias("third_key"), F.get_json_object("body", "$.max_output_tokens").cast("long").alias("max_output_tokens"),
+    )
 
 
 def gold_vs_predicted(spark, sf_dir):
@@ -214,4 +287,4 @@ def html_headings(spark, sf_dir):
     return blocks.groupBy("source_id").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (normalize_text, block_filters, document_kinds, sentence_rows, sentence_cap, dataset_summary, window_sizes, window_rows, window_sentences, window_limit, rule_labels, student_examples, training_summary, extracted_sentences, parse_issues, boundary_scores, segmentation_scores, training_rows, label_scores, feature_sums, browse, gold_vs_predicted, routed_results, html_blocks, html_headings)}
+QUERIES = {f.__name__: f for f in (normalize_text, block_filters, document_kinds, sentence_rows, sentence_cap, dataset_summary, window_sizes, window_rows, window_sentences, window_limit, rule_labels, student_examples, training_summary, extracted_sentences, parse_issues, boundary_scores, segmentation_scores, training_rows, label_scores, feature_sums, browse, browse_sort, label_histogram, sft_split_counts, sft_examples, example_mapping, training_scores, doc_validation, annotation_summary, label_requests, gold_vs_predicted, routed_results, html_blocks, html_headings)}
