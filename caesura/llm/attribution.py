@@ -6,7 +6,8 @@ after another with a line end between. Which section a token that crosses a bord
 Every token counts once, so the counts of a document add up to the tokens of its whole text.
 
 A null text counts as empty and has one section, 0, without tokens. Rows are taken as they are: repeated rows and
-null doc_ids have rows of their own. Needs a byte-level vocabulary, whose tokens stand for whole ranges of bytes.
+null doc_ids have rows of their own; an empty table gives none, extra columns are ignored, long texts are taken whole. Needs a
+byte-level vocabulary, whose tokens stand for whole ranges of bytes; any other is an error.
 """
 
 from __future__ import annotations
@@ -50,6 +51,8 @@ def owners(start: np.ndarray, end: np.ndarray, borders: np.ndarray, rule: str) -
 
 def count_tokens(docs: DataFrame, tokenizer: str, rule: str = "first", fields: Sequence[str] = ()) -> DataFrame:
     """doc_id, section (a line's or field's number), start_char, end_char, n_tokens, n_crossing (of its tokens, those that go over its border)."""
+    if not encoder(tokenizer).spaced:
+        raise ValueError("the vocabulary is not byte-level: its tokens don't say how much of a text they stand for")
     n_fields = len(fields)
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in fields]
     lengths = F.array(*[F.octet_length(p) for p in parts]) if fields else F.lit(None).cast("array<int>")

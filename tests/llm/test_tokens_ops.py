@@ -81,3 +81,8 @@ def test_fields(spark):
     own = Encoder(NAME).whole
     assert got[1, 0] + got[1, 1] == len(own.encode("title é\nbody\ntext here").ids) and got[1, 0] == len(own.encode("title é\n").ids)
     assert got[2, 1] == 1
+
+
+def test_attribution_refuses_other_vocabularies(spark):
+    with pytest.raises(ValueError, match="byte-level"):
+        attribution.count_tokens(spark.createDataFrame([(1, "a")], "doc_id long, text string"), default_path("word_bpe_49k.json"))
