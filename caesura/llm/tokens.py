@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 #: Code points below this, but U+0000 and U+0130, take the fast way.
 FAST = 0x250
 #: At most so many pieces are remembered; then all are forgotten.
-CACHE = 300_000
+CACHE = 700_000
 #: Ranges of typographic marks and currency signs: neither letters nor numbers nor spaces.
 MARKS = ((0x2010, 0x2027), (0x2030, 0x205E), (0x20A0, 0x20C0))
 SPACES = [0x20, 0x85, 0xA0, *range(0x09, 0x0E)]
