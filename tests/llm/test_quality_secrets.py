@@ -1,6 +1,7 @@
 """Base counts against a plain count, distances against a plain formula, and the forest on held-out findings."""
 
 import re
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -59,6 +60,36 @@ def test_junk_goes_and_clean_stays(spark):
     assert not any(got[100 + i]["kept"] for i in range(4))
 
 
+def test_classes_follow_unicode_and_words_come_from_the_corpus(spark):
+    text = "aé Zß 漢字 ٣4 «x» |€ #a\u0301 😀"
+    for b in (text.encode(), b"plain"):
+        found = divergence._char_classes(np.frombuffer(b, np.uint8))
+        at = [len(b.decode()[:k].encode()) for k in range(len(b.decode()))]
+        want = [next((k for k, m in enumerate(divergence.CLASSES) if unicodedata.category(c) in m), 6) if c not in divergence.MARKS else divergence.SYMBOL for c in b.decode()]
+        assert found[at].tolist() == want
+    rows = [(i, t, lang, "s", 1) for i, (t, lang) in enumerate([("Und und b a, x1", "de"), ("und a ä", "de"), ("ä ä ä |", "de"), ("漢 字", "zh"), ("漢", "zh"), ("w", None), (None, "fr"), ("", None)])]
+    got = {r["language"]: r["listed"] for r in divergence.common_words(spark.createDataFrame(rows, DOCS).repartition(3)).collect()}
+    assert got == {"de": ["und", "ä", "a", "b"], "zh": ["漢", "字"], None: ["w"]}
+
+
+def test_few_documents_are_no_reference_and_lists_of_bars_go(spark):
+    rnd = np.random.RandomState(3)
+    pool = ["the", "of", "and"] * 6 + [f"{a}{b}" for a in ("nation", "water", "run", "quick", "stone", "tree", "wind") for b in ("s", "ing", "ly", "ed", "er", "al", "ish", "hood")]
+    rows = [(i, " ".join(rnd.choice(pool, 90)), "en", "s", 1) for i in range(40)]
+    rows += [(100 + i, " | ".join(rnd.choice(pool, 40)), lang, "s", 1) for i, lang in enumerate(("en", "xx", "xx", "xx", None))]
+    rows += [(200, " ".join(chr(0x4E00 + k) for k in rnd.randint(0, 3000, 80)), "zh", "s", 1)]
+    got = {r["doc_id"]: r for r in divergence.judge(spark.createDataFrame(rows, DOCS)).collect()}
+    assert [got[i]["kept"] for i in range(100, 105)] == [False] * 5 and all(got[i]["kept"] for i in range(40))
+    assert got[200]["kept"] and got[200]["class_distance"] is None and got[200]["word_distance"] is None
+
+
+def test_long_texts_and_clashing_columns(spark):
+    rows = [(i, "the nation of water and stone runs " * (1 + 30_000 * (i == 3)) + f"w{i}", "en", "s", 1, "x") for i in range(5)]
+    docs = spark.createDataFrame(rows, DOCS + ", language string").withColumnsRenamed({"source": "listed"})
+    assert {r["doc_id"]: r["n_words"] for r in divergence.judge(docs).collect()}[3] == 7 * 30_001 + 1
+    assert divergence.keep(docs).columns == docs.columns
+
+
 def test_forest_on_held_out_findings():
     model = secrets.train()
     held = secrets.made_findings(800, seed=99)
