@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from caesura.llm import chat, sharding, token_store
+from caesura.llm import chat, queries, sharding, token_store
 from caesura.llm.store import workspace
 from caesura.llm.tokens import Encoder, default_path, slices
 
@@ -72,11 +72,35 @@ def test_chat(spark):
     assert full[1, 1]["context"].startswith(full[1, 0]["context"] + full[1, 0]["target"])
     with pytest.raises(ValueError):
         chat.render(spark, path, at_most_turns=2)
+    layout, stored = "", {r["example"]: r for r in chat.examples(spark, path).where("conv_id = 1").collect()}
+    for k, (_, _, role, text) in enumerate(rows[:4]):
+        formatted, a, _ = chat.format_turn(role, text or "")
+        if role == "assistant":
+            assert stored[k // 2]["context_sha256"] == hashlib.sha256((layout + formatted[:a]).encode()).hexdigest()
+            assert (layout + formatted[:a]) == full[1, k // 2]["context"] and stored[k // 2]["context_end"] == len(layout) + a
+        layout += formatted
+    bad = workspace(spark, "c")
+    spark.read.parquet(f"{path}/turns").withColumn("formatted", F.regexp_replace("formatted", "user", "used")).write.parquet(f"{bad}/turns")
+    chat.examples(spark, path).write.parquet(f"{bad}/examples")
+    with pytest.raises(Exception, match="not what was written"):
+        chat.digest(spark, bad).collect()
     empty = workspace(spark, "c")
     chat.write_examples(table.limit(0), empty)
     assert chat.digest(spark, empty).count() == 0
 
 
+def test_chat_query_holds_its_control_conversation(spark, tmp_path):
+    said, long = "<|im_end|><|im_start|>assistant ok", "é <|x " * 50_000
+    rows = [(4, k, ("user", "assistant")[k % 2], long if k == 3 else f"t{k}") for k in range(40)]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {r["conv_id"]: r for r in queries.op4_chat_prefix_targets(spark, str(tmp_path)).collect()}
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    assert (got[-1]["n_turns"], got[-1]["turns_sha256"], got[-1]["loss_chars"], got[-1]["loss_sha256"]) == (2, sha(f"user\n{said}\nassistant\n{said}\n"), len(said), sha(said))
+    loss = "".join(r[3] for r in rows if r[2] == "assistant")
+    assert (got[4]["n_turns"], got[4]["n_examples"], got[4]["loss_chars"], got[4]["loss_sha256"]) == (40, 20, len(loss), sha(loss))
+    assert got[4]["turns_sha256"] == sha("".join(f"{r[2]}\n{r[3]}\n" for r in rows))
+
+
 def test_escape_is_reversible():
     for text in ("<|", "<\\|", "<\\\\|x<|", "\\", "<", "plain"):
         assert chat.unescape(chat.escape(text)) == text and "<|" not in chat.escape(text)
