@@ -1,10 +1,11 @@
 """Packing token sequences by cutting-stock column generation.
 
 Documents are encoded, ended with end_id and cut into pieces of CAPACITY ids and a rest. Rests are counted by length,
-rounded up to whole UNITs. The linear program over packing patterns of these classes is solved by column generation:
+rounded up (size_class): the shortest not at all, longer ones by a small share of their length, so that neither many
+short nor many long pieces leave much room. The linear program over packing patterns of these classes is solved by column generation:
 a knapsack dynamic program over the capacity prices new patterns with the duals until none is worth its sequence.
 Patterns are used a rounded-down number of times, what remains is placed best-fit decreasing, and pieces, ranked in
-their class, take the patterns' places in order. The histogram and the patterns have at most CAPACITY / UNIT classes,
+their class, take the patterns' places in order. The histogram and the patterns have at most CAPACITY / 7 classes,
 whatever the size of the corpus; ranks are counts by task plus sums over tasks, so no class meets in one task.
 
 A null text counts as empty and is one piece, the end id. Repeated rows and null doc_ids are documents like others.
@@ -25,10 +26,16 @@ from pyspark.sql import functions as F
 from caesura.llm.store import materialize
 from caesura.llm.tokens import encoder, slices
 
-CAPACITY, UNIT = 1024, 16
+CAPACITY = 1024
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, size int, part int, rank long"
 
 
+def size_class(length: np.ndarray, capacity: int = CAPACITY) -> np.ndarray:
+    """Lengths rounded up: exact to a 32nd of the capacity, by 4 to an 8th, by 8 to the half, by 16 above; never over the capacity."""
+    step = np.select([length <= capacity // 32, length <= capacity // 8, length <= capacity // 2], [1, 4, 8], 16)
+    return np.minimum(-(-length // step) * step, capacity)
+
+
 def price(sizes: np.ndarray, worth: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
     """The pattern of greatest worth: an unbounded knapsack by dynamic programming over the capacity."""
     best, pick = np.zeros(capacity + 1), np.full(capacity + 1, -1)
@@ -113,13 +120,13 @@ def patterns(demand: dict[int, int], capacity: int, rounds: int = 1_500) -> list
     return found + [(1, held) for x in rooms for held in x]
 
 
-def cut(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY, unit: int = UNIT, ids: bool = False) -> DataFrame:
-    """A row a piece, with its class (size, in units), the task that made it and its rank in the class there; with ids, the ids as well."""
+def cut(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY, ids: bool = False) -> DataFrame:
+    """A row a piece, with its class (size), the task that made it and its rank in the class there; with ids, the ids as well."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, seen = TaskContext.get().partitionId(), np.zeros(-(-capacity // unit) + 1, np.int64)
+        part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             for i, j in slices(batch.column(1)):
                 flat, edge = encoder(tokenizer).encode(batch.column(1).slice(i, j - i))
@@ -128,7 +135,7 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACI
                 row = np.repeat(np.arange(j - i), count)
                 start = (np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)) * capacity
                 length = np.minimum(total[row] - start, capacity)
-                size = -(-length // unit)
+                size = size_class(length, capacity)
                 order = np.argsort(size, kind="stable")
                 first = np.searchsorted(size[order], np.arange(len(seen)))
                 rank = np.empty(len(row), np.int64)
@@ -145,14 +152,13 @@ def cut(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACI
     return rows.mapInArrow(pieces, PIECES + ", ids array<long>" * ids)
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY, unit: int = UNIT, ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY, ids: bool = False) -> DataFrame:
     """A row a piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids)."""
-    pieces = materialize(cut(docs, tokenizer, end_id, capacity, unit, ids), "pieces")
+    pieces = materialize(cut(docs, tokenizer, end_id, capacity, ids), "pieces")
     counts = materialize(pieces.groupBy("size", "part").agg(F.count("*").alias("n")), "counts")
-    demand = {r["size"]: r["n"] for r in counts.groupBy("size").agg(F.sum("n").alias("n")).collect()}  # at most capacity / unit rows
-    room = capacity // unit
-    full = demand.pop(room, 0)
-    plan = [(full, Counter({room: 1}))] * bool(full) + patterns(demand, room)
+    demand = {r["size"]: r["n"] for r in counts.groupBy("size").agg(F.sum("n").alias("n")).collect()}  # at most capacity / 7 rows
+    full = demand.pop(capacity, 0)
+    plan = [(full, Counter({capacity: 1}))] * bool(full) + patterns(demand, capacity)
     ranges: dict[int, list[tuple[int, int, int, int]]] = {}  # by size: first rank, places a sequence, first sequence, first place
     given, base = Counter(), 0
     for times, held in plan:

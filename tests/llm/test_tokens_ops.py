@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from caesura.llm import attribution, packing
 from caesura.llm.tokens import Encoder, default_path
@@ -53,6 +54,17 @@ def test_patterns_hold_the_demand():
     assert packing.patterns({}, 64) == []
 
 
+def test_short_pieces_leave_little_room(spark):
+    lengths = np.arange(1, 1025)
+    size = packing.size_class(lengths)
+    assert (size >= lengths).all() and size.max() == 1024 and (size[:32] == lengths[:32]).all() and len(set(size.tolist())) <= 1024 // 7
+    assert (packing.size_class(np.arange(1, 101), 100) <= 100).all()
+    rnd = np.random.RandomState(6)
+    docs = spark.createDataFrame([(i, None if i % 3 == 0 else "a word " * int(rnd.randint(1, 90))) for i in range(6000)], "doc_id long, text string")
+    got = packing.pack(docs, NAME).groupBy().agg(F.sum("length").alias("ids"), F.countDistinct("sequence_id").alias("n"), F.max(F.col("offset") + F.col("length")).alias("most")).head()
+    assert got["most"] <= 1024 and got["ids"] > 0.97 * 1024 * got["n"]
+
+
 @pytest.mark.parametrize("rule", ["first", "last", "largest"])
 def test_attribution(spark, rule):
     rows = made(3, 25)
