@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caesura.llm.components import components
+from caesura.llm.memory import give_back
 from caesura.llm.store import discard, materialize
 from caesura.llm.vec import Chunk, U, chunks, mix
 
@@ -221,6 +222,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held.append(batch)
     if held:
         yield joined(held)
+    give_back()
 
 
 def reach(n: np.ndarray, at: np.ndarray) -> np.ndarray:

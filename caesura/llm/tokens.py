@@ -16,8 +16,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from caesura.llm.memory import give_back
+
 #: Code points below this, but U+0000 and U+0130, take the fast way.
 FAST = 0x250
+#: Code points that are classified at once.
+BLOCK = 1 << 18
 #: At most so many pieces are remembered; then all are forgotten.
 CACHE = 700_000
 #: Ranges of typographic marks and currency signs: neither letters nor numbers nor spaces.
@@ -90,8 +94,8 @@ class Encoder:
     def _starts(self, c: np.ndarray, kind: np.ndarray) -> np.ndarray:
         """Where pieces (and dropped gaps) begin in the code points c, texts being divided by code point 0."""
         n = len(c)
-        before = np.concatenate([[4], kind[:-1]]).astype(np.uint8)
-        after = np.concatenate([kind[1:], [4]]).astype(np.uint8)
+        before, after = np.full(n, 4, np.uint8), np.full(n, 4, np.uint8)
+        before[1:], after[:-1] = kind[:-1], kind[1:]
         start = kind != before
         if self.spaced:
             last = (kind == 0) & (after != 0) & (after != 4)  # of a run of spaces before a word
@@ -134,13 +138,17 @@ class Encoder:
             texts = pc.utf8_lower(texts)
         joined = "\0".join(texts.to_pylist()) + "\0"
         c = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
-        kind = CLASS[np.minimum(c, FAST - 1)]
+        kind = np.empty(len(c), np.uint8)
+        for i in range(0, len(c), BLOCK):  # an index takes 8 bytes a code point
+            kind[i : i + BLOCK] = CLASS[np.minimum(c[i : i + BLOCK], FAST - 1)]
         kind[c >= FAST] = 3
         at = np.flatnonzero(self._starts(c, kind))
-        place = np.zeros(len(c) + 1, np.int64)  # of code points, in bytes
-        np.cumsum(1 + (c >= 0x80).view(np.int8) + (c >= 0x800), out=place[1:])
-        edges = np.append(place[at], place[-1])
         data = joined.encode()
+        place = np.zeros(len(c) + 1, np.int32 if len(data) < 2**31 else np.int64)  # of code points, in bytes
+        np.cumsum(1 + (c >= 0x80).view(np.int8) + (c >= 0x800), out=place[1:])
+        edges = np.append(place[at], place[-1]).astype(np.int64)
+        stops = np.flatnonzero(kind[at] == 4) + 1
+        del joined, c, kind, place
         found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(edges), pa.py_buffer(data)]).dictionary_encode()
         values = found.dictionary.to_pylist()
         empty = {b"\0"} if self.spaced else {v for v in values if v == b"\0" or not v.decode().strip("\t\n\x0b\x0c\r \x85\xa0")}
@@ -152,7 +160,6 @@ class Encoder:
         code = slot[found.indices.to_numpy(zero_copy_only=False)]
         table = pa.LargeListArray.from_arrays(pa.array(self.ends[: self.n_ends]), pa.array(self.ids[: self.used]))
         taken = table.take(pa.array(code))
-        stops = np.flatnonzero(kind[at] == 4) + 1
         edge = taken.offsets.to_numpy()[np.concatenate([[0], stops])]
         return taken.flatten().to_numpy(zero_copy_only=False), edge - edge[0]
 
@@ -181,6 +188,7 @@ def slices(texts: pa.Array, size: int = 3_000_000) -> Iterator[tuple[int, int]]:
     while i < len(texts):
         j = max(i + 1, int(np.searchsorted(lengths, lengths[i] + size, "right")) - 1)
         yield i, j
+        give_back()
         i = j
 
 

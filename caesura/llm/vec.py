@@ -11,6 +11,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from caesura.llm.memory import give_back
+
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -120,3 +122,4 @@ def chunks(texts: pa.Array, size: int = 1_000_000) -> Iterator[tuple[int, int, C
         j = max(i + 1, int(np.searchsorted(edge, edge[i] + size, "right")) - 1)
         yield i, j, Chunk(b[edge[i] : edge[j]], edge[i : j + 1] - edge[i])
         i = j
+    give_back()
