@@ -44,3 +44,43 @@ def test_lines_are_split_as_blocks_are(spark):
 def test_scripts_of_a_line_are_counted_once(spark):
     found = plan(QUERIES["block_filters"](spark, TABLES))
     assert [found.count(f"[^{chars}]") for chars in T.SCRIPTS.values()] == [1] * len(T.SCRIPTS)
+
+
+def test_features_are_counted_together(spark):
+    rnd = random.Random(11)
+    texts = ["", None, "제", "chapter 기도 아멘", "aaa aaa", "😀😀 é"] + ["".join(rnd.choices("ab 가나😀", k=rnd.randint(0, 130))) for _ in range(60)]
+    rows = spark.createDataFrame([(i, t, i % 25) for i, t in enumerate(texts)], "i int, t string, n int").coalesce(1)
+    made = rows.select("i", training.feature_map(F.col("t"), F.col("n")).alias("f"))
+    assert "array_distinct" not in plan(made)  # a pass over all items for each distinct one
+    for i, got in made.collect():
+        if texts[i] is None:
+            assert got is None
+            continue
+        t = " ".join(texts[i].split())
+        head = t[:96]
+        want = {"bias": 1.0, f"sid_bucket:{min(i % 25, 20)}": 1.0, f"len_bucket:{min(len(t) // 20, 10)}": 1.0}
+        want |= {"sid:first": 1.0} if i % 25 == 1 else {}
+        want |= {"cue:starts_je": 1.0} if t.startswith("제") else {}
+        want |= {"cue:starts_chapter": 1.0} if t.startswith("chapter ") else {}
+        want |= {f"cue:contains:{c}": 1.0 for c in training.CUES if c in t}
+        for c in head.replace(" ", ""):
+            want[f"char:{c}"] = min(want.get(f"char:{c}", 0.0) + 1, 4.0)
+        for k in range(min(len(head) - 1, 48)):
+            want[f"bigram:{head[k : k + 2]}"] = min(want.get(f"bigram:{head[k : k + 2]}", 0.0) + 1, 3.0)
+        assert got == want
+
+
+def test_scores_need_one_pass_and_no_windows(spark):
+    table = spark.createDataFrame([("c", {"bias": 1.0, "x": 2.0}), ("d", {"y": 1.0}), ("e", {})], "candidate_id string, features map<string,double>")
+    weights = spark.createDataFrame([("topic_shift", "bias", 3.0), ("topic_shift", "x", -1.0), ("none", "x", 1.0), ("odd", "x", 9.0)], "label string, feature string, weight double")
+    scored = training.score(table, weights)
+    assert nodes(scored, "Window") == 0 and nodes(scored, "Join") == 1
+    got = {(r["candidate_id"], r["rank"]): (r["label"], r["score"]) for r in scored.collect()}
+    assert len(got) == 24 and got["c", 1] == ("none", 2.0) and got["c", 2] == ("topic_shift", 1.0) and got["d", 1] == got["e", 1] == ("none", 0.0) and got["d", 2] == ("topic_shift", 0.0)
+
+
+def test_outputs_are_parsed_without_a_shuffle(spark):
+    rows = spark.createDataFrame([("e", "S2 topic_shift\nbad\nS1 topic_shift\nS2 none", ["S1", "S2"])], "example_id string, output string, valid array<string>")
+    found = training.parse_outputs(rows)
+    assert nodes(found, "Window") == 0
+    assert [(r["line_number"], r["issues"]) for r in found.collect()] == [(1, []), (2, ["invalid_line"]), (3, ["not_ascending"]), (4, ["invalid_label", "duplicate_local_sid"])]
