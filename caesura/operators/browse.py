@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caesura.functions.text import STUDENT_LABELS, sid_number
+from caesura.functions.text import STUDENT_LABELS, let, once, sid_number
 
 
 def boundary_labels(output: Column) -> Column:
     """Labels of an output's lines with two tokens and a known label, in order."""
-    tokens = F.transform(F.split(output, "\n"), lambda x: F.split(F.trim(x), r"\s+"))
+    tokens = F.transform(F.split(output, "\n"), lambda x: let(F.trim(x), lambda t: F.when(t.rlike(r"[\t\x0b-\r]|  "), F.split(t, r"\s+")).otherwise(F.split(t, " "))))
     return F.transform(F.filter(tokens, lambda t: (F.size(t) == 2) & sid_number(F.get(t, F.lit(0))).isNotNull() & F.get(t, F.lit(1)).isin(STUDENT_LABELS)), lambda t: F.get(t, F.lit(1)))
 
 
@@ -19,13 +19,14 @@ def filter_examples(examples: DataFrame, query: str = "", boundaries: str = "all
     out = examples
     if query.strip():
         out = out.where(F.contains(F.lower(F.concat_ws("\n", "example_id", "document_id", "input", "output")), F.lit(query.strip().lower())))
-    labels = boundary_labels(F.col("output"))
+    if boundaries == label == "all":
+        return out
+    rows = once(out, labels=boundary_labels(F.col("output")))
     if boundaries == "boundary_only":
-        out = out.where(F.size(labels) > 0)
+        rows = rows.where(F.size("labels") > 0)
     elif boundaries == "no_boundary":
-        out = out.where(F.size(labels) == 0)
-    return out if label == "all" else out.where(F.array_contains(labels, label))
-
+        rows = rows.where(F.size("labels") == 0)
+    return (rows if label == "all" else rows.where(F.array_contains("labels", label))).drop("labels")
 
 
 def sort_examples(examples: DataFrame, order: str = "example_id") -> DataFrame:
@@ -37,7 +38,7 @@ def sort_examples(examples: DataFrame, order: str = "example_id") -> DataFrame:
 
 def label_histogram(examples: DataFrame) -> DataFrame:
     """label, n over all labels, zero included; and NO_BOUNDARY for examples without any."""
-    labels = F.when(F.size(boundary_labels(F.col("output"))) == 0, F.array(F.lit("NO_BOUNDARY"))).otherwise(boundary_labels(F.col("output")))
+    labels = let(boundary_labels(F.col("output")), lambda x: F.when(F.size(x) == 0, F.array(F.lit("NO_BOUNDARY"))).otherwise(x))
     counts = examples.select(F.explode(labels).alias("label")).groupBy("label").agg(F.count("*").alias("n"))
     grid = examples.sparkSession.createDataFrame([(x,) for x in [*STUDENT_LABELS, "NO_BOUNDARY"]], "label string")
     return F.broadcast(grid).join(counts, "label", "left").select("label", F.coalesce("n", F.lit(0)).alias("n"))

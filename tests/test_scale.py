@@ -84,3 +84,11 @@ def test_outputs_are_parsed_without_a_shuffle(spark):
     found = training.parse_outputs(rows)
     assert nodes(found, "Window") == 0
     assert [(r["line_number"], r["issues"]) for r in found.collect()] == [(1, []), (2, ["invalid_line"]), (3, ["not_ascending"]), (4, ["invalid_label", "duplicate_local_sid"])]
+
+
+@pytest.mark.skipif(not os.path.isdir(TABLES), reason="no driver tables")
+def test_labels_of_outputs_are_found_once(spark):
+    outputs = spark.read.parquet(f"{TABLES}/documents.parquet").select(F.col("doc_id").cast("string").alias("example_id"), F.lit("d").alias("document_id"), F.col("text").alias("input"), F.concat(F.lit("S1 "), F.col("text")).alias("output"))
+    assert plan(browse.filter_examples(outputs, "x", "boundary_only", "topic_shift")).count("^S([0-9]+)$") == 1
+    lines = spark.createDataFrame([("S1 topic_shift\n S2\t none \nS3  topic_shift\nS4 topic_shift x",)], "o string")
+    assert lines.select(browse.boundary_labels(F.col("o"))).head()[0] == ["topic_shift", "topic_shift"]
