@@ -13,9 +13,12 @@ from html.parser import HTMLParser
 from xml.etree import ElementTree
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import _parse_datatype_string
 
 from caesura.functions.text import document_id, document_kind, is_kept, is_layout_noise, language_reason, let, split_sentences
 from caesura.operators import windows
@@ -68,6 +71,8 @@ def spans(html: str | None) -> list[dict]:
     return parser.found
 
 
+#: How many pages are Python objects at a time.
+SLICE = 100
 SPAN = "array<struct<tag: string, page_id: string, before: int, text: string>>"
 
 
@@ -87,10 +92,16 @@ def blocks(found: Column) -> Column:
     return let(F.filter(placed, lambda x: ~is_layout_noise(x["text"])), lambda kept: F.transform(kept, lambda x, i: block(x, i, kept)))
 
 
+def _parsed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    kind = to_arrow_type(_parse_datatype_string(SPAN))
+    for batch in batches:
+        for at in range(0, len(batch), SLICE):
+            yield pa.array([spans(x) for x in batch.slice(at, SLICE).to_pylist()], kind)
+
+
 def html_blocks(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
     """key, position and the block's columns; a null page has none."""
-    parse = F.pandas_udf(lambda texts: texts.map(spans), SPAN)
-    found = pages.select(key, parse(html).alias("spans"))
+    found = pages.select(key, F.arrow_udf(_parsed, SPAN)(html).alias("spans"))
     return found.select(key, F.posexplode(blocks(F.col("spans"))).alias("position", "block")).select(key, "position", "block.*")
 
 

@@ -92,3 +92,12 @@ def test_labels_of_outputs_are_found_once(spark):
     assert plan(browse.filter_examples(outputs, "x", "boundary_only", "topic_shift")).count("^S([0-9]+)$") == 1
     lines = spark.createDataFrame([("S1 topic_shift\n S2\t none \nS3  topic_shift\nS4 topic_shift x",)], "o string")
     assert lines.select(browse.boundary_labels(F.col("o"))).head()[0] == ["topic_shift", "topic_shift"]
+
+
+def test_pages_are_parsed_in_slices():
+    import pyarrow as pa
+
+    pages = pa.array([f"<p>page {i}</p>" for i in range(2 * markup.SLICE + 5)] + [None])
+    found = list(markup._parsed(iter([pages])))
+    assert [len(x) for x in found] == [markup.SLICE, markup.SLICE, 6]
+    assert [x[0]["text"] if x else None for part in found for x in part.to_pylist()] == [f"page {i}" for i in range(2 * markup.SLICE + 5)] + [None]
