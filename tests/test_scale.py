@@ -101,3 +101,11 @@ def test_pages_are_parsed_in_slices():
     found = list(markup._parsed(iter([pages])))
     assert [len(x) for x in found] == [markup.SLICE, markup.SLICE, 6]
     assert [x[0]["text"] if x else None for part in found for x in part.to_pylist()] == [f"page {i}" for i in range(2 * markup.SLICE + 5)] + [None]
+
+
+def test_results_meet_windows_once(spark):
+    shown = windows.build_windows(spark.createDataFrame([("a", ["x", "y"]), ("b", ["x", "y"])], "document_id string, sentences array<string>"), 2, 0, 0)
+    routed = ingest.route(spark.createDataFrame([(1, None), (2, '{"custom_id": "q"}')], "line_number long, line string"), shown)
+    assert nodes(routed, "Join") == 1
+    got = sorted((str(r["line_number"]), r["route"], r["exception_type"]) for r in routed.collect())
+    assert got == [("1", "failure", "TypeError"), ("2", "failure", "KeyError"), ("None", "failure", "MissingBatchResult"), ("None", "failure", "MissingBatchResult")]
