@@ -5,11 +5,13 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import _parse_datatype_string
 
-from caesura.functions.text import sid_number, split_name
+from caesura.functions.text import let, sid_number, split_name
 from caesura.operators import evaluation, ingest, training
 
 # Families and splits, by which files are named.
@@ -17,25 +19,31 @@ FAMILIES = ("sparse_multi_boundary", "first_boundary")
 SPLITS = ("train", "validation", "test")
 # End of fixed values.
 
-CHECKED = "custom_id string, codes array<string>, items array<struct<local_sid: string, source_sentence_id: string, split_after: boolean, boundary_type: string, confidence: double>>"
+CHECKED = "struct<codes: array<string>, items: array<struct<local_sid: string, source_sentence_id: string, split_after: boolean, boundary_type: string, confidence: double>>>"
+
+
+def _check(annotation: str, custom_id: str, sources: dict[str, str], targets: list[str]) -> dict:
+    note = json.loads(annotation)
+    codes = [i["code"] for i in ingest.issues(note, custom_id, sources, targets)]
+    fields = ("local_sid", "source_sentence_id", "split_after", "boundary_type")
+    return {"codes": codes, "items": [] if codes else [{f: i[f] for f in fields} | {"confidence": float(i["confidence"])} for i in note["boundary_annotations"]]}
 
 
 def checked(annotations: DataFrame, windows: DataFrame) -> DataFrame:
     """annotations: custom_id, annotation (JSON). windows: custom_id, document_id, source_path, target_local_sids, local_to_source (map of sid to
     source_sentence_id and text). A row an annotation: the window's columns, codes of its rule breaks, its items, and problem, what forbids to build from it."""
-    given = annotations.join(windows.select("custom_id", "target_local_sids", F.transform_values("local_to_source", lambda _, v: v["source_sentence_id"]).alias("sources")), "custom_id")
+    kind = to_arrow_type(_parse_datatype_string(CHECKED))
 
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def check(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for batch in batches:
-            out = []
-            for r in batch.itertuples():
-                note = json.loads(r.annotation)
-                codes = [i["code"] for i in ingest.issues(note, r.custom_id, dict(r.sources or {}), list(r.target_local_sids if r.target_local_sids is not None else []))]
-                out.append((r.custom_id, codes, [] if codes else [(i["local_sid"], i["source_sentence_id"], i["split_after"], i["boundary_type"], float(i["confidence"])) for i in note["boundary_annotations"]]))
-            yield pd.DataFrame(out, columns=["custom_id", "codes", "items"])
-
-    judged = given.select("custom_id", "annotation", "sources", "target_local_sids").mapInPandas(check, CHECKED)
-    joined = annotations.select("custom_id").join(windows.withColumn("known", F.lit(True)), "custom_id", "left").join(judged, "custom_id", "left")
+            for at in range(0, len(batch[0]), ingest.SLICE):
+                rows = zip(*(x.slice(at, ingest.SLICE).to_pylist() for x in batch), strict=True)
+                yield pa.array([_check(note, name, dict(sources or ()), sids or []) if known else None for known, note, name, sources, sids in rows], kind)
+
+    joined = annotations.join(windows.withColumn("known", F.lit(True)), "custom_id", "left")
+    named = F.transform_values("local_to_source", lambda _, v: v["source_sentence_id"])
+    judged = F.arrow_udf(check, CHECKED)(F.coalesce("known", F.lit(False)), "annotation", "custom_id", named, "target_local_sids")
+    joined = joined.withColumn("judged", judged).select(*windows.columns, "known", "judged.codes", "judged.items")
     sids, sources = F.col("target_local_sids"), F.col("local_to_source")
     lost = F.filter(sids, lambda s: ~F.array_contains(F.map_keys(sources), s))
     mute = F.filter(sids, lambda s: sources[s]["text"].isNull())
@@ -60,15 +68,18 @@ def preflight(rows: DataFrame) -> None:
 def sentences(sids: Column, sources: Column) -> Column:
     """(local_sid, text) of the distinct sids, by number."""
     numbered = F.transform(F.array_distinct(sids), lambda s: F.struct(sid_number(s).alias("n"), s.alias("local_sid"), sources[s]["text"].alias("text")))
-    return F.transform(F.array_sort(numbered), lambda s: F.struct(s["local_sid"].alias("local_sid"), s["text"].alias("text")))
+    return F.transform(F.sort_array(numbered), lambda s: F.struct(s["local_sid"].alias("local_sid"), s["text"].alias("text")))
 
 
 def examples(rows: DataFrame) -> DataFrame:
     """Of checked() rows with targets, an example a family: target_type, split, example_id, document_id, input, output, custom_id."""
     shown = rows.where(F.size("target_local_sids") > 0).withColumn("input", training.student_input(sentences(F.col("target_local_sids"), F.col("local_to_source"))))
-    outputs = F.array(
-        F.struct(F.lit(FAMILIES[0]).alias("target_type"), F.concat(F.lit("sparse:"), "custom_id").alias("example_id"), training.sparse_output(F.col("items")).alias("output")),
-        F.struct(F.lit(FAMILIES[1]).alias("target_type"), F.concat(F.lit("first:"), "custom_id").alias("example_id"), training.first_output(F.col("items")).alias("output")),
+    outputs = let(
+        training.boundary_lines(F.col("items")),
+        lambda lines: F.array(
+            F.struct(F.lit(FAMILIES[0]).alias("target_type"), F.concat(F.lit("sparse:"), "custom_id").alias("example_id"), training.all_lines(lines).alias("output")),
+            F.struct(F.lit(FAMILIES[1]).alias("target_type"), F.concat(F.lit("first:"), "custom_id").alias("example_id"), training.first_line(lines).alias("output")),
+        ),
     )
     both = shown.select("custom_id", "document_id", "input", split_name(F.col("document_id")).alias("split"), F.explode(outputs).alias("e"))
     return both.select("e.target_type", "split", "e.example_id", "document_id", "input", "e.output", "custom_id")

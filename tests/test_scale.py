@@ -109,3 +109,13 @@ def test_results_meet_windows_once(spark):
     assert nodes(routed, "Join") == 1
     got = sorted((str(r["line_number"]), r["route"], r["exception_type"]) for r in routed.collect())
     assert got == [("1", "failure", "TypeError"), ("2", "failure", "KeyError"), ("None", "failure", "MissingBatchResult"), ("None", "failure", "MissingBatchResult")]
+
+
+def test_annotations_meet_windows_once(spark):
+    shown = spark.createDataFrame([("a", "d", "p", ["S1"], {"S1": ("d.s0", "x")})], "custom_id string, document_id string, source_path string, target_local_sids array<string>, local_to_source map<string, struct<source_sentence_id: string, text: string>>")
+    item = '{"local_sid": "S1", "source_sentence_id": "d.s0", "split_after": true, "boundary_type": "topic_shift", "confidence": 1, "rationale": ""}'
+    note = f'{{"custom_id": "a", "boundary_annotations": [{item}], "quality_flags": []}}'
+    rows = student.checked(spark.createDataFrame([("a", note), ("q", "not json, and no window")], "custom_id string, annotation string"), shown)
+    assert nodes(rows, "Join") == 1
+    got = {r["custom_id"]: (r["codes"], r["items"] and [tuple(i) for i in r["items"]], r["problem"]) for r in rows.collect()}
+    assert got == {"a": ([], [("S1", "d.s0", True, "topic_shift", 1.0)], None), "q": (None, None, "no window with this custom_id")}
