@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,11 +23,22 @@ SPLITS = ("train", "validation", "test")
 CHECKED = "struct<codes: array<string>, items: array<struct<local_sid: string, source_sentence_id: string, split_after: boolean, boundary_type: string, confidence: double>>>"
 
 
-def _check(annotation: str, custom_id: str, sources: dict[str, str], targets: list[str]) -> dict:
+def _check(annotation: str, custom_id: str, sources: dict[str, str], targets: list[str]) -> tuple[list[str], list[dict]]:
     note = json.loads(annotation)
     codes = [i["code"] for i in ingest.issues(note, custom_id, sources, targets)]
-    fields = ("local_sid", "source_sentence_id", "split_after", "boundary_type")
-    return {"codes": codes, "items": [] if codes else [{f: i[f] for f in fields} | {"confidence": float(i["confidence"])} for i in note["boundary_annotations"]]}
+    return codes, [] if codes else note["boundary_annotations"]
+
+
+def _judged(rows: list[tuple[list[str], list[dict]] | None], kind: pa.StructType) -> pa.StructArray:
+    """codes and items of rows, field by field."""
+    some = [r or ([], []) for r in rows]
+    offsets = lambda k: pa.array(np.append(0, np.cumsum([len(r[k]) for r in some])), pa.int32())
+    item = kind.field("items").type.value_type
+    given = [i for _, items in some for i in items]
+    fields = [pa.array([float(i[f.name]) for i in given] if f.name == "confidence" else [i[f.name] for i in given], f.type) for f in item]
+    codes = pa.ListArray.from_arrays(offsets(0), pa.array([c for r, _ in some for c in r], pa.string()))
+    items = pa.ListArray.from_arrays(offsets(1), pa.StructArray.from_arrays(fields, fields=list(item)))
+    return pa.StructArray.from_arrays([codes.cast(kind.field("codes").type), items.cast(kind.field("items").type)], fields=list(kind), mask=pa.array([r is None for r in rows]))
 
 
 def checked(annotations: DataFrame, windows: DataFrame) -> DataFrame:
@@ -37,8 +49,10 @@ def checked(annotations: DataFrame, windows: DataFrame) -> DataFrame:
     def check(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for batch in batches:
             for at in range(0, len(batch[0]), ingest.SLICE):
-                rows = zip(*(x.slice(at, ingest.SLICE).to_pylist() for x in batch), strict=True)
-                yield pa.array([_check(note, name, dict(sources or ()), sids or []) if known else None for known, note, name, sources, sids in rows], kind)
+                known, notes, names, sources, sids = (x.slice(at, ingest.SLICE) for x in batch)
+                named = ((k and dict(zip(k, v, strict=True))) or {} for k, v in zip(ingest.lists(sources, sources.keys), ingest.lists(sources, sources.items), strict=True))
+                rows = zip(known.to_pylist(), notes.to_pylist(), names.to_pylist(), named, ingest.lists(sids, sids.values), strict=True)
+                yield _judged([_check(note, name, source, wanted or []) if there else None for there, note, name, source, wanted in rows], kind)
 
     joined = annotations.join(windows.withColumn("known", F.lit(True)), "custom_id", "left")
     named = F.transform_values("local_to_source", lambda _, v: v["source_sentence_id"])
