@@ -17,8 +17,6 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import _parse_datatype_string
 
 from caesura.functions.text import document_id, document_kind, is_kept, is_layout_noise, language_reason, let, split_sentences
 from caesura.operators import windows
@@ -74,6 +72,7 @@ def spans(html: str | None) -> list[dict]:
 #: How many pages are Python objects at a time.
 SLICE = 100
 SPAN = "array<struct<tag: string, page_id: string, before: int, text: string>>"
+_SPAN = pa.list_(pa.struct([("tag", pa.string()), ("page_id", pa.string()), ("before", pa.int32()), ("text", pa.string())]))
 
 
 def blocks(found: Column) -> Column:
@@ -93,10 +92,9 @@ def blocks(found: Column) -> Column:
 
 
 def _parsed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    kind = to_arrow_type(_parse_datatype_string(SPAN))
     for batch in batches:
         for at in range(0, len(batch), SLICE):
-            yield pa.array([spans(x) for x in batch.slice(at, SLICE).to_pylist()], kind)
+            yield pa.array([spans(x) for x in batch.slice(at, SLICE).to_pylist()], _SPAN)
 
 
 def html_blocks(pages: DataFrame, key: str, html: str = "html") -> DataFrame:

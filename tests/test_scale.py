@@ -94,13 +94,14 @@ def test_labels_of_outputs_are_found_once(spark):
     assert lines.select(browse.boundary_labels(F.col("o"))).head()[0] == ["topic_shift", "topic_shift"]
 
 
-def test_pages_are_parsed_in_slices():
+def test_pages_are_parsed_in_slices(spark):
     import pyarrow as pa
 
     pages = pa.array([f"<p>page {i}</p>" for i in range(2 * markup.SLICE + 5)] + [None])
     found = list(markup._parsed(iter([pages])))
     assert [len(x) for x in found] == [markup.SLICE, markup.SLICE, 6]
     assert [x[0]["text"] if x else None for part in found for x in part.to_pylist()] == [f"page {i}" for i in range(2 * markup.SLICE + 5)] + [None]
+    assert markup.html_blocks(spark.createDataFrame([(1, "<p>text</p>")], "id int, html string"), "id").head()["text"] == "text"
 
 
 def test_results_meet_windows_once(spark):
